@@ -58,6 +58,18 @@ def keep_tags(html: Column, names: str, *, also: str = "") -> Column:
     return F.regexp_replace(drop_noncharacters(html), pattern, f"{OPEN}$1$2{SHUT}")
 
 
+def lossless_units(html: Column, names: str) -> Column:
+    """Cut a page before every tag in ``names``; joined again it is the same page.
+
+    Comments, scripts and styles are stepped over, and quoted attribute values
+    may contain anything.
+    """
+    rest = f"(?:[^<]++|{RAW}|<(?!/?(?:{names})[\\s/>])(?:[a-z/!?]{ATTRS})?+)"
+    return F.regexp_extract_all(
+        html, F.lit(f"(?is)</?(?:{names}){NAME_END}{ATTRS}{rest}*+|{rest}++|<"), F.lit(0)
+    )
+
+
 # The tags that carry table structure and the separator of each.
 STRUCTURE = {
     "table": TABLE, "/table": TABLE_END,

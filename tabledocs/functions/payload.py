@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from tabledocs.functions.text import let, trim_text
 
 _FIELD_END, _RECORD_END = "\ufdd0", "\ufdd1"
-_OBJECT = "map<string,string>"
+_OBJECT, _TYPED_OBJECT = "map<string,string>", "map<string,variant>"
 
 
 def _java_literal(text: str) -> str:
@@ -129,12 +129,14 @@ def json_shape(json: Column) -> Column:
     )
 
 
-def json_records(json: Column) -> Column:
-    """Array of maps: the objects of an array, or a single object as one record."""
+def json_records(json: Column, typed: bool = False) -> Column:
+    """Array of maps: the objects of an array, or a single object as one record.
+    Values are text, or VARIANT when ``typed``."""
+    kind = _TYPED_OBJECT if typed else _OBJECT
     return let(
         json,
-        lambda j: F.when(F.rlike(j, F.lit("^\\s*\\{")), F.array(F.from_json(j, _OBJECT))).otherwise(
-            F.from_json(j, f"array<{_OBJECT}>")
+        lambda j: F.when(F.rlike(j, F.lit("^\\s*\\{")), F.array(F.from_json(j, kind))).otherwise(
+            F.from_json(j, f"array<{kind}>")
         ),
     )
 
@@ -144,19 +146,21 @@ def json_rows(json: Column) -> Column:
     return F.from_json(json, "array<array<string>>")
 
 
-def object_items(payload: Column, unwrap: str = "convertedData") -> Column:
+def object_items(payload: Column, unwrap: str = "convertedData", typed: bool = False) -> Column:
     """The objects an item stands for: an already converted value is unwrapped,
     internal ``__`` keys are dropped, arrays are flattened, and what is not an
-    object is left out.  Text that is not JSON becomes ``{"value": text}``."""
+    object is left out.  Text that is not JSON becomes ``{"value": text}``.
+    Values are text, or VARIANT when ``typed``."""
+    kind = _TYPED_OBJECT if typed else _OBJECT
 
     def of_value(v: Column) -> Column:
         return (
             F.when(F.rlike(v, F.lit("^\\s*\\[")), F.transform(
                 F.filter(F.from_json(v, "array<string>"), lambda x: F.rlike(x, F.lit("^\\s*\\{"))),
-                lambda x: F.from_json(x, _OBJECT),
+                lambda x: F.from_json(x, kind),
             ))
-            .when(F.rlike(v, F.lit("^\\s*\\{")), F.array(F.from_json(v, _OBJECT)))
-            .otherwise(F.array().cast(f"array<{_OBJECT}>"))
+            .when(F.rlike(v, F.lit("^\\s*\\{")), F.array(F.from_json(v, kind)))
+            .otherwise(F.array().cast(f"array<{kind}>"))
         )
 
     def of_item(p: Column) -> Column:
@@ -164,11 +168,12 @@ def object_items(payload: Column, unwrap: str = "convertedData") -> Column:
         single = let(
             inner,
             lambda m: F.when(F.map_contains_key(m, unwrap), let(m[unwrap], of_value)).otherwise(
-                F.array(F.map_filter(m, lambda k, _: ~k.startswith("__")))
+                F.array(F.map_filter(F.from_json(p, kind), lambda k, _: ~k.startswith("__")))
             ),
         )
+        text = F.parse_json(F.to_json(F.array(p))).try_cast("array<variant>")[0] if typed else p
         return (
-            F.when(F.try_parse_json(p).isNull(), F.array(F.create_map(F.lit("value"), p)))
+            F.when(F.try_parse_json(p).isNull(), F.array(F.create_map(F.lit("value"), text)))
             .when(F.rlike(p, F.lit("^\\s*\\{")), single)
             .otherwise(of_value(p))
         )
