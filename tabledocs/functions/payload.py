@@ -19,12 +19,10 @@ def _fields(csv: Column, delimiter: str) -> Column:
     d = _java_literal(delimiter)
     char = f"[^{d}\\r\\n]" if len(delimiter) == 1 else f"(?:(?!{d})[^\\r\\n])"
     quoted = '"(?:[^"]++|"")*+"'
+    end = f"{d}|\\r\\n|\\n|\\r"
     return F.regexp_extract_all(
         csv,
-        F.lit(
-            f"(?s)(?:{quoted}(?={d}|[\\r\\n])|{char}*+)(?:{d}|\\r\\n|\\n|\\r)"
-            f"|(?:{quoted}(?=\\z)|{char}++)\\z|(?<={d})\\z"
-        ),
+        F.lit(f"(?s){quoted}(?:{end}|\\z)|{char}*+(?:{end})|{char}++\\z|(?<={d})\\z"),
         F.lit(0),
     )
 

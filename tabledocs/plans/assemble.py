@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 MAX_PART_ROWS = 20_000
 MAX_BROADCAST_KEYS = 10_000
@@ -119,9 +119,8 @@ def ordered_position(df: DataFrame, by: list[Column], output: str = "position")
     )
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the checkpoint folder the session names."""
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the session names; a temporary one only in local mode."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -130,4 +129,10 @@ def durable(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="tabledocs-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()

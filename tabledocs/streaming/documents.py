@@ -17,9 +17,11 @@ from tabledocs.plans.options import ExtractOptions
 
 
 def stream_documents(spark: SparkSession, folder: str, schema: str, source: str = "parquet",
-                     files_per_trigger: int | None = None) -> DataFrame:
-    """Documents from files that keep arriving in ``folder``."""
+                     files_per_trigger: int | None = None, files: str | None = None) -> DataFrame:
+    """Documents from files that keep arriving in ``folder``; ``files`` is a name pattern."""
     reader = spark.readStream.schema(schema)
+    if files:
+        reader = reader.option("pathGlobFilter", files)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.format(source).load(folder)
