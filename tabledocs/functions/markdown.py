@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabledocs.functions.text import let, running_count
+from tabledocs.functions.text import let, running_count, trim_text
 
 INLINE_TAGS = (
     "strong|b|em|i|code|a|br|p|ul|ol|li|h1|h2|h3|h4|h5|h6|blockquote|hr|del|s|strike|sub|sup|img"
@@ -86,6 +86,27 @@ def _enclosed(rest: Column, tag: str, marks: str, write) -> Column:
     )
 
 
+# Pairs that tend to occur together; a group is skipped on pages that have none.
+_GROUPS = (
+    ("strong|b", "em|i"),
+    ("ul", "ol", "li"),
+    ("del|s|strike", "sub", "sup", "blockquote"),
+    ("h1", "h2", "h3", "h4", "h5", "h6"),
+)
+
+
+def _pairs_of(group: tuple[str, ...]):
+    def replace(text: Column) -> Column:
+        out = text
+        for tags in group:
+            before, after = PAIRS[tags]
+            out = F.regexp_replace(out, f"(?is)<(?:{tags}){_END}{_ATTRS}", before)
+            out = F.regexp_replace(out, f"(?i)</(?:{tags})\\s*>", after)
+        return F.when(F.rlike(text, F.lit(f"(?i)</?(?:{'|'.join(group)})[\\s/>]")), out).otherwise(text)
+
+    return replace
+
+
 def inline_to_markdown(text: Column, marks: str) -> Column:
     """Markdown for inline tags; ``marks`` is the class of structure separators."""
     any_tag = "(?s)</?[a-zA-Z]" + _ATTRS
@@ -118,9 +139,8 @@ def inline_to_markdown(text: Column, marks: str) -> Column:
     text = F.regexp_replace(text, paragraph, "$1\n\n")
     for tag, output in SINGLES.items():
         text = F.regexp_replace(text, f"(?is)<{tag}{_END}{_ATTRS}", output)
-    for tags, (before, after) in PAIRS.items():
-        text = F.regexp_replace(text, f"(?is)<(?:{tags}){_END}{_ATTRS}", before)
-        text = F.regexp_replace(text, f"(?i)</(?:{tags})\\s*>", after)
+    for group in _GROUPS:
+        text = let(text, _pairs_of(group))
     return F.regexp_replace(text, any_tag, "")
 
 
@@ -202,11 +222,38 @@ def _number(cell: Column) -> Column:
     return let(units, lambda parts: let(symbols, lambda kinds: place(parts, kinds)))
 
 
+def _number_flat(cell: Column) -> Column:
+    """Lists that do not stand inside one another: cut at lists, then at items."""
+
+    def one(piece: Column) -> Column:
+        items = F.transform(
+            F.slice(F.split(F.substring_index(piece, LIST_END, 1), ITEM), F.lit(2), F.length(piece)),
+            lambda x, i: F.concat(
+                F.when(piece.startswith(OL), F.concat((i + 1).cast("string"), F.lit(". "))).otherwise(F.lit("- ")),
+                trim_text(F.substring_index(x, ITEM_END, 1)), F.lit("\n"),
+            ),
+        )
+        after = F.when(
+            F.contains(piece, F.lit(LIST_END)), F.substr(piece, F.instr(piece, LIST_END) + 1)
+        ).otherwise(F.lit(""))
+        return F.when(
+            piece.startswith(UL) | piece.startswith(OL), F.concat(F.array_join(items, ""), after)
+        ).otherwise(piece)
+
+    text = F.array_join(F.transform(F.split(cell, f"(?=[{UL}{OL}])"), one), "")
+    return F.regexp_replace(text, f"[{_LIST_MARKS}]", "")
+
+
 def number_lists(cell: Column) -> Column:
     """Write list items of one cell and trim item and quote text."""
 
     def finish(text: Column) -> Column:
-        listed = F.when(F.rlike(text, F.lit(f"[{_LIST_MARKS}]")), _number(text)).otherwise(text)
+        nested = F.rlike(text, F.lit(f"[{UL}{OL}][^{LIST_END}{UL}{OL}]*+[{UL}{OL}]"))
+        listed = (
+            F.when(~F.rlike(text, F.lit(f"[{_LIST_MARKS}]")), text)
+            .when(nested, _number(text))
+            .otherwise(_number_flat(text))
+        )
         return F.when(F.rlike(text, F.lit(f"[{_ALL_MARKS}]")), let(listed, _trim_marked)).otherwise(text)
 
     return let(cell, finish)

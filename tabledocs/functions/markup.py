@@ -58,15 +58,24 @@ def keep_tags(html: Column, names: str, *, also: str = "") -> Column:
     return F.regexp_replace(drop_noncharacters(html), pattern, f"{OPEN}$1$2{SHUT}")
 
 
-def lossless_units(html: Column, names: str) -> Column:
-    """Cut a page before every tag in ``names``; joined again it is the same page.
+def lossless_units(html: Column, tags: str) -> Column:
+    """Cut a page before every one of ``tags``; joined again it is the same page.
 
-    Comments, scripts and styles are stepped over, and quoted attribute values
-    may contain anything.
+    ``tags`` is a pattern such as ``/?table|tr``.  Comments, scripts and styles
+    are stepped over, and quoted attribute values may contain anything.
     """
-    rest = f"(?:[^<]++|{RAW}|<(?!/?(?:{names})[\\s/>])(?:[a-z/!?]{ATTRS})?+)"
+    rest = f"(?:[^<]++|{RAW}|<(?!(?:{tags})[\\s/>])(?:[a-z/!?]{ATTRS})?+)"
     return F.regexp_extract_all(
-        html, F.lit(f"(?is)</?(?:{names}){NAME_END}{ATTRS}{rest}*+|{rest}++|<"), F.lit(0)
+        html, F.lit(f"(?is)<(?:{tags}){NAME_END}{ATTRS}{rest}*+|{rest}++|<"), F.lit(0)
+    )
+
+
+def numbered_tables(html: Column) -> Column:
+    """Only the numbers of the tables of a page, in the shape of ``tables_column``."""
+    opens = F.filter(lossless_units(html, "/?table"), lambda u: F.rlike(u, F.lit("^<[tT]")))
+    return F.transform(
+        opens,
+        lambda u, i: F.struct((i + 1).alias("table_no"), F.lit(None).cast("string").alias("caption")),
     )
 
 

@@ -75,9 +75,20 @@ def with_tables(df: DataFrame, html: str = "html", options: ExtractOptions = Ext
     return staged.select(*kept, result.alias(output))
 
 
+def each(df: DataFrame, keep: list, items: Column | str, item: str, position: str = "__pos") -> DataFrame:
+    """One row per array element, with its 1-based position.
+
+    The outer form is used on purpose: for a plain explode the optimizer adds a
+    filter on the array and pushes a second copy of its whole expression down.
+    """
+    out = df.select(*keep, F.posexplode_outer(items).alias("__i", item)).filter(F.col("__i").isNotNull())
+    others = [c for c in out.columns if c not in ("__i", item)]
+    return out.select(*others, (F.col("__i") + 1).alias(position), item)
+
+
 def _exploded(df: DataFrame, html: str, options: ExtractOptions, keep: list[str] | None) -> DataFrame:
     kept = [c for c in df.columns if c != html] if keep is None else keep
-    return with_tables(df, html, options, "__tables").select(*kept, F.explode("__tables").alias("__t"))
+    return each(with_tables(df, html, options, "__tables"), kept, "__tables", "__t").drop("__pos")
 
 
 def tables(df: DataFrame, html: str = "html", options: ExtractOptions = ExtractOptions(),
@@ -100,11 +111,9 @@ def rows(df: DataFrame, html: str = "html", options: ExtractOptions = ExtractOpt
     exploded = _exploded(df, html, options, keep)
     kept = [c for c in exploded.columns if c != "__t"]
     t = F.col("__t")
-    return exploded.select(
-        *kept, t["table_no"].alias("table_no"), t["caption"].alias("caption"), t["headers"].alias("headers"),
-        t["heading_path"].alias("heading_path"), F.posexplode(t["rows"]).alias("__i", "cells"),
-    ).select(
-        *kept, "table_no", (F.col("__i") + 1).alias("row_no"), "caption", "heading_path", "headers", "cells"
+    fields = [t[n].alias(n) for n in ("table_no", "caption", "heading_path", "headers")]
+    return each(exploded, [*kept, *fields], t["rows"], "cells", "row_no").select(
+        *kept, "table_no", "row_no", "caption", "heading_path", "headers", "cells"
     )
 
 
@@ -113,11 +122,8 @@ def cells(df: DataFrame, html: str = "html", options: ExtractOptions = ExtractOp
     """One row per cell: ``table_no, row_no, col_no, header, value``."""
     r = rows(df, html, options, keep)
     kept = [c for c in r.columns if c not in ("table_no", "row_no", "caption", "heading_path", "headers", "cells")]
-    return r.select(
-        *kept, "table_no", "row_no", "headers", F.posexplode("cells").alias("__i", "value")
-    ).select(
-        *kept, "table_no", "row_no", (F.col("__i") + 1).alias("col_no"),
-        F.get("headers", F.col("__i")).alias("header"), "value",
+    return each(r, [*kept, "table_no", "row_no", "headers"], "cells", "value", "col_no").select(
+        *kept, "table_no", "row_no", "col_no", F.get("headers", F.col("col_no") - 1).alias("header"), "value"
     )
 
 

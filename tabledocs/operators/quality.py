@@ -42,25 +42,48 @@ def _remove_element(html: Column, name: str) -> Column:
 
 
 def sanitize_html(html: Column | str) -> Column:
-    """Remove active content from a page."""
-    text = as_column(html)
-    for name in DANGEROUS_ELEMENTS:
-        if name not in _EMPTY_ELEMENTS:
-            text = _remove_element(text, name)
-    empty = "|".join(_EMPTY_ELEMENTS)
-    every = "|".join(DANGEROUS_ELEMENTS)
-    text = F.regexp_replace(text, f"(?i)</?(?:{empty})(?:\\s[^>]*)?>|<(?:{every})(?:\\s[^>]*)?/>", "")
-    handlers = "|".join(DANGEROUS_ATTRIBUTES)
-    text = F.regexp_replace(
-        text, f"(?i)\\s(?:{handlers})[^\\s=>\"']*\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s>\"']+)", ""
-    )
-    for attribute, schemes in (("href", "javascript:|vbscript:"), ("src", "javascript:|vbscript:|data:text/html")):
-        text = F.regexp_replace(
-            text,
-            f"(?i)\\b{attribute}\\s*=\\s*(?:\"\\s*(?:{schemes})[^\"]*\"|'\\s*(?:{schemes})[^']*')",
-            f'{attribute}="#"',
+    """Remove active content from a page.
+
+    Each group of replacements runs only on pages where one search finds
+    something for it to do.
+    """
+
+    def elements(names: list[str]):
+        def remove(text: Column) -> Column:
+            out = text
+            for name in names:
+                out = _remove_element(out, name)
+            return F.when(F.rlike(text, F.lit(f"(?i)</(?:{'|'.join(names)})[\\s>]")), out).otherwise(text)
+
+        return remove
+
+    def empty_tags(text: Column) -> Column:
+        empty, every = "|".join(_EMPTY_ELEMENTS), "|".join(DANGEROUS_ELEMENTS)
+        pattern = f"(?i)</?(?:{empty})(?:\\s[^>]*)?>|<(?:{every})(?:\\s[^>]*)?/>"
+        return F.regexp_replace(text, pattern, "")
+
+    def attributes(text: Column) -> Column:
+        names = "|".join(DANGEROUS_ATTRIBUTES)
+        out = F.regexp_replace(
+            text, f"(?i)\\s(?:{names})[^\\s=>\"']*\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s>\"']+)", ""
         )
-    return text
+        for attribute, schemes in (
+            ("href", "javascript:|vbscript:"), ("src", "javascript:|vbscript:|data:text/html")
+        ):
+            out = F.regexp_replace(
+                out,
+                f"(?i)\\b{attribute}\\s*=\\s*(?:\"\\s*(?:{schemes})[^\"]*\"|'\\s*(?:{schemes})[^']*')",
+                f'{attribute}="#"',
+            )
+        suspect = "(?i)\\son[a-z]|javascript:|vbscript:|data:text/html"
+        return F.when(F.rlike(text, F.lit(suspect)), out).otherwise(text)
+
+    paired = [n for n in DANGEROUS_ELEMENTS if n not in _EMPTY_ELEMENTS]
+    common = [n for n in paired if n in ("script", "style")]
+    rare = [n for n in paired if n not in common]
+    text = let(as_column(html), elements(common))
+    text = let(text, elements(rare))
+    return let(empty_tags(text), attributes)
 
 
 def html_depth(html: Column | str) -> Column:
@@ -96,7 +119,9 @@ def html_error(html: Column | str, max_bytes: int = MAX_HTML_BYTES, need_table:
     )
     if need_table:
         error = error.when(~F.rlike(c, F.lit("(?i)<table[^>]*>")), F.lit("no table elements found"))
-    return error.when(html_depth(c) > MAX_DEPTH, F.lit("excessively nested"))
+    # a page with few tags cannot be deep, so most pages are not walked at all
+    tags = size - F.octet_length(F.replace(c, F.lit("<"), F.lit("")))
+    return error.when((tags > MAX_DEPTH) & (html_depth(c) > MAX_DEPTH), F.lit("excessively nested"))
 
 
 def csv_error(csv: Column | str, delimiter: str = ",") -> Column:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabledocs.functions.markup import balanced_levels, lossless_units, tables_column
+from tabledocs.functions.markup import balanced_levels, lossless_units, numbered_tables, tables_column
 from tabledocs.functions.render import minify
 from tabledocs.functions.text import let
 from tabledocs.operators.quality import sanitize_html
 from tabledocs.operators.select import no_match_error, selected_numbers
-from tabledocs.plans.options import TableSelector
+from tabledocs.operators.style import style_tables
+from tabledocs.plans.convert import convert
+from tabledocs.plans.options import ShapeOptions, StyleOptions, TableSelector, WriteOptions
 
 _TAG_END = "(?is)^</table(?:\\s[^>]*)?>"
 
@@ -66,7 +68,7 @@ def splice_table(html: Column, table_no: Column, content: Column) -> Column:
         )
         return let(signature, lambda s: let(balanced_levels(s), lambda v: cut(units, s, v)))
 
-    return let(lossless_units(html, "table"), start)
+    return let(lossless_units(html, "/?table"), start)
 
 
 def replace_table(
@@ -90,7 +92,9 @@ def replace_table(
         insert = sanitize_html(insert)
     columns = [c for c in df.columns if c not in (output, error)]
     staged = df.withColumn("__page", sanitize_html(html) if sanitize else F.col(html)).withColumn("__insert", insert)
-    staged = staged.withColumn("__every", tables_column(F.col("__page")))
+    # captions are read only when tables are chosen by them
+    read = tables_column if selector.preset == "table-with-caption" else numbered_tables
+    staged = staged.withColumn("__every", read(F.col("__page")))
     staged = staged.withColumn("__chosen", selected_numbers(F.col("__page"), F.col("__every"), selector))
     spliced = splice_table(F.col("__page"), F.get("__chosen", F.lit(0)), F.col("__insert"))
     result = F.when(
@@ -103,6 +107,26 @@ def replace_table(
     )
 
 
+def replacement_tables(
+    df: DataFrame,
+    source: str,
+    payload: str = "payload",
+    *,
+    shape: ShapeOptions = ShapeOptions(),
+    write: WriteOptions = WriteOptions(),
+    style: StyleOptions | None = None,
+    output: str = "content",
+    mode: str = "PERMISSIVE",
+) -> DataFrame:
+    """HTML to insert, made from CSV, JSON or object payloads.
+
+    Payloads are checked, sorted and projected; a style touches only the table
+    that is inserted, never the page.
+    """
+    made = convert(df, source, "html", payload, shape=shape, write=write, mode=mode, output=output, error="error")
+    return style_tables(made, style, output, sanitize=False, output=output) if style is not None else made
+
+
 def replace_from(
     docs: DataFrame,
     replacements: DataFrame,

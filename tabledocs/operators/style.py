@@ -20,11 +20,10 @@ BAND_COLOR = "#f9f9f9"
 
 # One symbol per structural tag.
 _SYMBOLS = (
-    ("<table", "T"), ("</table", "t"), ("<thead", "A"), ("<tfoot", "A"), ("</thead", "a"),
-    ("</tfoot", "a"), ("<tbody", "a"), ("</tbody", "a"), ("<tr", "R"), ("<td", "D"), ("<th", "H"),
-    ("<caption", "C"),
+    ("<td", "D"), ("<tr", "R"), ("<th", "H"), ("<table", "T"), ("</table", "t"), ("<caption", "C"),
+    ("<thead", "A"), ("<tfoot", "A"), ("</thead", "a"), ("</tfoot", "a"), ("<tbody", "a"), ("</tbody", "a"),
 )
-_NAMES = "table|thead|tbody|tfoot|caption|tr|td|th"
+_TAGS = "/?table|/?thead|/?tbody|/?tfoot|caption|tr|td|th"
 _WHITE_SPACE = {"wrap": "normal", "nowrap": "nowrap"}
 
 Style = list[tuple[str, str]]
@@ -146,12 +145,15 @@ def _add_style(tag: Column, style: Style) -> Column:
             ),
         )
 
-    return let(
+    # most tags have no style yet: write it before the closing bracket
+    simple = F.concat(F.substr(tag, F.lit(1), F.length(tag) - 1), F.lit(f' style="{fresh}">'))
+    general = let(
         attribute(tag, "style"),
         lambda present: _set_attribute(
             tag, "style", F.when(present == "", F.lit(fresh)).otherwise(merged(present))
         ),
     )
+    return F.when(F.rlike(tag, F.lit("(?i)\\sstyle\\s*=|/>\\z|\\s>\\z")), general).otherwise(simple)
 
 
 def _add_class(tag: Column, names: str) -> Column:
@@ -312,7 +314,7 @@ def style_tables(
     o = options
     columns = [c for c in df.columns if c != output]
     page = sanitize_html(html) if sanitize else as_column(html)
-    staged = df.withColumn("__units", lossless_units(page, _NAMES))
+    staged = df.withColumn("__units", lossless_units(page, _TAGS))
     staged = staged.withColumn("__placed", _placed(F.col("__units")))
     if o.zebra or o.banded_rows == "on" or caption_style(o):
         counts = _counted(F.col("__placed"))
@@ -336,5 +338,14 @@ def style_tables(
 
     styled = let(F.struct(F.col("__placed").alias("placed"), F.col("__counts").alias("counts")), rewrite)
     staged = staged.withColumn("__styled", styled)
-    joined = F.array_join(F.transform(F.array_sort("__styled"), lambda x: x["u"]), "")
+    joined = let(
+        F.col("__styled"),
+        lambda done: F.array_join(
+            F.transform(
+                F.when(F.exists("__placed", lambda e: e["level"] > 0), F.array_sort(done)).otherwise(done),
+                lambda x: x["u"],
+            ),
+            "",
+        ),
+    )
     return staged.select(*columns, joined.alias(output))

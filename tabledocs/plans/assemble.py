@@ -1,9 +1,9 @@
 """From many rows to one text per group, safe for groups of any size.
 
-A group with few rows is collected and joined in order.  A group with more rows
-than a part may hold is never collected whole: its rows are range-partitioned by
-group and order, and every stretch of consecutive rows becomes a part of its
-own.  Nothing is dropped; ``part`` orders the parts of a group.
+A group whose text is small is collected and joined in order.  A group with more
+rows or bytes than a part may hold is never collected whole: its rows are
+range-partitioned by group and order, and every stretch of consecutive rows
+becomes a part of its own.  Nothing is dropped; ``part`` orders the parts.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 MAX_PART_ROWS = 20_000
+MAX_PART_BYTES = 64 * 1024 * 1024
 MAX_BROADCAST_KEYS = 10_000
 
 
@@ -28,23 +29,28 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     )
 
 
-def oversize_keys(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
-    """Keys with more than ``max_rows`` rows.  Reads the key columns only and is
-    combined before the shuffle, so a hot key costs no more than another."""
+def oversize_keys(df: DataFrame, keys: list[str], max_rows: int, max_bytes: int) -> DataFrame:
+    """Keys whose text is too large to collect, with the size of their widest row.
+
+    The sums are combined before the shuffle, so a hot key costs no more than
+    another."""
+    size = F.octet_length("__text").cast("long")
     return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > max_rows)
-        .select(*[F.col(k).alias(f"__{k}") for k in keys])
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__n"), F.sum(size).alias("__bytes"), F.max(size).alias("__widest"))
+        .filter((F.col("__n") > max_rows) | (F.col("__bytes") > max_bytes))
+        .select(*[F.col(k).alias(f"__{k}") for k in keys], "__widest")
     )
 
 
-def _in_parts(df: DataFrame, keys: list[str], order: list[str], separator: str, max_rows: int) -> DataFrame:
-    """Consecutive rows share a part; no part holds more than ``max_rows`` rows."""
+def _in_parts(df: DataFrame, keys: list[str], order: list[str], separator: str, rows: int) -> DataFrame:
+    """Consecutive rows share a part; no part holds more than ``rows`` rows."""
     by = [*keys, *order, "__text"]
     placed = (
         df.repartitionByRange(*by)
         .sortWithinPartitions(*by)
         # ids grow along the sort order, within a partition and across partitions
-        .withColumn("part", (F.monotonically_increasing_id() / F.lit(max_rows)).cast("long") + F.lit(1))
+        .withColumn("part", F.floor(F.monotonically_increasing_id() / F.lit(rows)).cast("long") + F.lit(1))
     )
     return placed.groupBy(*keys, "part").agg(_join_ordered(order, separator).alias("body"))
 
@@ -57,12 +63,15 @@ def group_text(
     *,
     separator: str = "",
     max_rows: int = MAX_PART_ROWS,
+    max_bytes: int = MAX_PART_BYTES,
     bounded: bool = False,
 ) -> DataFrame:
     """``keys, part, body``: the ordered text of each group.
 
-    ``bounded=True`` states that every group is small by construction (rows of
-    one page, say) and skips the count of rows per key.
+    Part 0 is a whole group; the parts of a group that is too large for one text
+    are numbered upwards in order.  Sizes are measured first, by one aggregate
+    per key.  ``bounded=True`` states that every group is small by construction
+    (rows of one page, say) and skips that.
     """
     columns = {n: F.col(n) for n in order} if isinstance(order, list) else order
     names = [f"__o{i}" for i in range(len(columns))]
@@ -77,20 +86,21 @@ def group_text(
 
     if bounded:
         return whole(slim)
-    if not keys:
-        return whole(slim) if slim.limit(max_rows + 1).count() <= max_rows else _in_parts(
-            slim, keys, names, separator, max_rows
-        ).select("part", "body")
-    hot = oversize_keys(slim, keys, max_rows)
-    n_hot = hot.limit(MAX_BROADCAST_KEYS + 1).count()
-    if n_hot == 0:
+    hot = oversize_keys(slim, keys, max_rows, max_bytes)
+    found = hot.agg(F.count(F.lit(1)).alias("n"), F.max("__widest").alias("widest")).head()
+    if found.n == 0:
         return whole(slim)
+    # as many rows per part as fit when every row were as wide as the widest
+    rows = max(1, min(max_rows, max_bytes // max(1, found.widest)))
+    if not keys:
+        return _in_parts(slim, keys, names, separator, rows).select("part", "body")
+    hot = hot.drop("__widest")
     # the list of hot keys is broadcast only when it was counted to be short
-    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
+    hot = F.broadcast(hot) if found.n <= MAX_BROADCAST_KEYS else hot
     small = slim.join(hot, _same_keys(slim, hot, keys), "left_anti")
     large = slim.join(hot, _same_keys(slim, hot, keys), "left_semi")
     return whole(small).unionByName(
-        _in_parts(large, keys, names, separator, max_rows).select(*keys, "part", "body")
+        _in_parts(large, keys, names, separator, rows).select(*keys, "part", "body")
     )
 
 

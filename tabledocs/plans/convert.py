@@ -18,7 +18,7 @@ from tabledocs.functions.payload import (
     csv_cells, csv_records, json_records, json_rows, json_shape, key_value_rows, object_items, zip_record,
 )
 from tabledocs.functions.text import let
-from tabledocs.operators.extract import with_tables
+from tabledocs.operators.extract import each, with_tables
 from tabledocs.operators.quality import checked, input_error
 from tabledocs.operators.select import no_match_error
 from tabledocs.operators.shape import manipulate_records, project_records, sort_records
@@ -38,9 +38,15 @@ def _headers_if(wanted: bool, headers: Column) -> Column:
 
 
 def _shaped_tables(tables: Column, shape: ShapeOptions) -> Column:
-    """Sort and project the rows of every table that has headers."""
+    """Sort and project the rows of every table that has headers (``keyed``)."""
+
+    def keep(t: Column, *extra: Column) -> Column:
+        return F.struct(
+            *[t[n].alias(n) for n in ("table_no", "caption", "headers", "rows", "heading_path")], *extra
+        )
+
     if not (shape.sort_by.strip() or shape.fields.strip()):
-        return tables
+        return F.transform(tables, lambda t: keep(t, (F.size(t["headers"]) > 0).alias("keyed")))
 
     def one(t: Column) -> Column:
         recs = F.transform(t["rows"], lambda r: zip_record(t["headers"], r))
@@ -54,12 +60,12 @@ def _shaped_tables(tables: Column, shape: ShapeOptions) -> Column:
                     lambda hs: F.struct(
                         t["table_no"].alias("table_no"), t["caption"].alias("caption"), hs.alias("headers"),
                         render.record_rows(rs, hs).alias("rows"), t["heading_path"].alias("heading_path"),
+                        F.lit(True).alias("keyed"),
                     ),
                 ),
             )
 
-        plain = F.struct(*[t[n].alias(n) for n in ("table_no", "caption", "headers", "rows", "heading_path")])
-        return F.when(F.size(t["headers"]) == 0, plain).otherwise(
+        return F.when(F.size(t["headers"]) == 0, keep(t, F.lit(False).alias("keyed"))).otherwise(
             let(sort_records(recs, shape.sort_by, shape.order), project)
         )
 
@@ -115,9 +121,7 @@ def _table_data(t: Column, options: WriteOptions) -> Column:
     as_arrays = F.to_json(t["rows"])
     if not options.include_headers:
         return as_arrays
-    return F.when(F.size(t["headers"]) == 0, as_arrays).otherwise(
-        F.to_json(F.transform(t["rows"], lambda r: zip_record(t["headers"], r)))
-    )
+    return F.when(t["keyed"], F.to_json(F.transform(t["rows"], lambda r: zip_record(t["headers"], r)))).otherwise(as_arrays)
 
 
 def _one_table_json(t: Column, options: WriteOptions) -> Column:
@@ -145,6 +149,11 @@ def _list_json(tables: Column, options: WriteOptions) -> Column:
 
 def heading_keyed_json(df: DataFrame, tables: str, output: str, options: WriteOptions = WriteOptions()) -> DataFrame:
     """Tables of a page as JSON nested by their headings."""
+    return _heading_keyed(df.withColumn("__keyed", _shaped_tables(F.col(tables), ShapeOptions())), "__keyed", output,
+                          options).drop("__keyed")
+
+
+def _heading_keyed(df: DataFrame, tables: str, output: str, options: WriteOptions) -> DataFrame:
     columns = [c for c in df.columns if c != output]
     items = F.transform(
         F.col(tables),
@@ -168,7 +177,7 @@ def _write_tables(df: DataFrame, target: str, extract: ExtractOptions, write: Wr
         return df.withColumn("__out", tables_csv(t, write))
     single = _one_table_json(F.get(t, F.lit(0)), write)
     if extract.detects_headings or extract.heading_selector.strip():
-        df = heading_keyed_json(df, "__tables", "__many", write)
+        df = _heading_keyed(df, "__tables", "__many", write)
         many = F.col("__many")
     else:
         many = _list_json(t, write)
@@ -338,7 +347,7 @@ def wrap_output(df: DataFrame, column: str = "output", name: str = "convertedDat
     parts = F.when(
         F.schema_of_variant(value).startswith("ARRAY"), value.try_cast("array<variant>")
     ).otherwise(F.array(value))
-    return df.select(*others, F.posexplode(parts).alias("item_no", "item"))
+    return each(df, others, parts, "item", "item_no")
 
 
 def fill_empty(df: DataFrame, ids: DataFrame, key: str, target: str, output: str = "output") -> DataFrame:

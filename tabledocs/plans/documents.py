@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabledocs.functions import render
 from tabledocs.functions.payload import object_items
+from tabledocs.operators.extract import each
 from tabledocs.plans.assemble import MAX_PART_ROWS, group_text
 from tabledocs.plans.options import WriteOptions
 
@@ -88,7 +89,7 @@ def combine_objects(
     one row, as reading the header of a file does.
     """
     typed = target == "json"
-    exploded = df.select(*order, F.posexplode(object_items(F.col(item), typed=typed)).alias("__i", "__rec"))
+    exploded = each(df, order, object_items(F.col(item), typed=typed), "__rec", "__i")
     by = {**{o: F.col(o) for o in order}, "__i": F.col("__i")}
     if typed:
         grouped = group_text(exploded, [], by, F.to_json("__rec"), separator=",", max_rows=max_rows)

@@ -101,16 +101,13 @@ def all_at_once(spark, sf):
     """One output for the whole batch, written in parts and read back whole."""
     rows = D.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     parts = td.render_all(rows, ["c_custkey", "c_name", "c_mktsegment"], ["c_custkey"], "json", max_rows=400)
-    recs = parts.select(F.explode(json_records(F.col("payload"))).alias("rec"))
+    recs = td.each(parts, [], json_records(F.col("payload")), "rec").select("rec")
     return td.record_columns(recs, {"c_custkey": "bigint", "c_name": "string", "c_mktsegment": "string"}, keep=[])
 
 
-@query(
-    """SELECT '[' || string_agg('{"event_id":' || event_id || ',"k":' || json_extract_string(props, '$.k') || '}',
-  ',' ORDER BY event_id) || ']' AS payload FROM events WHERE event_type = 'error'"""
-)
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type = 'error'")
 def combine_all_objects(spark, sf):
-    """The objects of all items as one JSON text (in parts when there are many)."""
+    """The objects of all items as one JSON text, in parts, and read back whole."""
     items = D.table(spark, sf, "events").filter("event_type = 'error'").select(
         "event_id",
         F.concat(
@@ -118,7 +115,9 @@ def combine_all_objects(spark, sf):
             F.substr("props", F.lit(2)),
         ).alias("item"),
     )
-    return td.combine_objects(items, "item", ["event_id"], "json").select("payload")
+    parts = td.combine_objects(items, "item", ["event_id"], "json", max_rows=500)
+    recs = td.each(parts, [], json_records(F.col("payload")), "rec")
+    return td.record_columns(recs, {"event_id": "bigint", "k": "bigint"}, keep=[])
 
 
 # -- extraction -------------------------------------------------------------------
@@ -361,9 +360,9 @@ def sort_mixed_numeric(spark, sf):
         "l_orderkey",
         F.transform(F.col("t")["rows"], lambda r: zip_record(F.array(F.lit("code"), F.lit("qty")), r)).alias("recs"),
     )
-    ordered = recs.select("l_orderkey", F.posexplode(td.sort_records("recs", "CODE")).alias("i", "rec"))
+    ordered = td.each(recs, ["l_orderkey"], td.sort_records("recs", "CODE"), "rec", "position")
     return ordered.select(
-        "l_orderkey", (F.col("i") + 1).alias("position"), F.col("rec")["code"].alias("code"), F.col("rec")["qty"].alias("qty")
+        "l_orderkey", "position", F.col("rec")["code"].alias("code"), F.col("rec")["qty"].alias("qty")
     )
 
 
@@ -377,12 +376,11 @@ def sort_desc_nulls(spark, sf):
     """Descending stable sort of JSON records; nulls come last."""
     rows = D.lines(spark, sf).withColumn("v", F.when(F.col("flag") == "N", None).otherwise(F.col("qty")))
     docs = td.render_groups(rows, ["l_orderkey"], ["v", "line"], list(D.LINE_HEADERS), "json").select("l_orderkey", "payload")
-    ordered = docs.select(
-        "l_orderkey",
-        F.posexplode(td.sort_records(json_records(F.col("payload")), "V", "descending")).alias("i", "rec"),
+    ordered = td.each(
+        docs, ["l_orderkey"], td.sort_records(json_records(F.col("payload")), "V", "descending"), "rec", "position"
     )
     return ordered.select(
-        "l_orderkey", (F.col("i") + 1).alias("position"), F.col("rec")["v"].alias("v"), F.col("rec")["line"].alias("line")
+        "l_orderkey", "position", F.col("rec")["v"].alias("v"), F.col("rec")["line"].alias("line")
     )
 
 
@@ -423,8 +421,7 @@ def sort_then_project(spark, sf):
 @query(f"WITH {D.SQL_LINES} SELECT l_orderkey, CAST(row_no AS INTEGER) AS row_no, line, part, flag FROM li")
 def csv_payload_records(spark, sf):
     docs = D.order_documents(spark, sf, "csv")
-    recs = docs.select("l_orderkey", F.posexplode(csv_records(F.col("payload"))).alias("i", "rec"))
-    recs = recs.select("l_orderkey", (F.col("i") + 1).alias("row_no"), "rec")
+    recs = td.each(docs, ["l_orderkey"], csv_records(F.col("payload")), "rec", "row_no")
     return td.record_columns(recs, {"line": "int", "part": "bigint", "flag": "string"})
 
 
@@ -433,7 +430,7 @@ def csv_payload_semicolon(spark, sf):
     """Quoted fields with quotes, delimiters and line breaks, and ``;`` between fields."""
     docs = records_to_csv(spark, sf)
     rec = F.col("rec")
-    return docs.select("conv_id", F.explode(csv_records(F.col("csv"), ";")).alias("rec")).select(
+    return td.each(docs, ["conv_id"], csv_records(F.col("csv"), ";"), "rec").select(
         "conv_id", rec["turn"].alias("turn"), rec["role"].alias("role"), rec["text"].alias("text")
     )
 
@@ -451,8 +448,8 @@ def multi_table_csv(spark, sf):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_payload_records(spark, sf):
-    recs = D.table(spark, sf, "events").select("event_id", F.explode(json_records(F.col("props"))).alias("rec"))
-    return td.record_columns(recs, {"k": "bigint"})
+    recs = td.each(D.table(spark, sf, "events"), ["event_id"], json_records(F.col("props")), "rec")
+    return td.record_columns(recs, {"k": "bigint"}, keep=["event_id"])
 
 
 @query(
@@ -470,7 +467,7 @@ def json_key_value_rows(spark, sf):
             F.col("user_id").cast("string"), F.lit(',"none":null}'),
         ).alias("json"),
     )
-    return docs.select("event_id", F.explode(key_value_rows(F.col("json"))).alias("kv")).select(
+    return td.each(docs, ["event_id"], key_value_rows(F.col("json")), "kv").select(
         "event_id", F.col("kv")["key"].alias("key"), F.col("kv")["value"].alias("value")
     )
 
@@ -501,8 +498,8 @@ def json_array_rows(spark, sf):
         D.lines(spark, sf), ["l_orderkey"], list(D.LINE_HEADERS),
         F.concat(F.lit("["), F.col("line").cast("string"), F.lit(',"'), "flag", F.lit('"]')), separator=",",
     ).select("l_orderkey", F.concat(F.lit("["), "body", F.lit("]")).alias("j"))
-    rows = docs.select("l_orderkey", F.posexplode(json_rows(F.col("j"))).alias("i", "r"))
-    return rows.select("l_orderkey", (F.col("i") + 1).alias("row_no"), F.col("r")[0].alias("c1"), F.col("r")[1].alias("c2"))
+    rows = td.each(docs, ["l_orderkey"], json_rows(F.col("j")), "r", "row_no")
+    return rows.select("l_orderkey", "row_no", F.col("r")[0].alias("c1"), F.col("r")[1].alias("c2"))
 
 
 @query(
@@ -520,8 +517,8 @@ def object_item_rows(spark, sf):
         .when(k == 1, F.concat(F.lit('{"a":1,"convertedData":['), "props", F.lit(',7,'), "props", F.lit("]}")))
         .otherwise(F.col("event_type")).alias("item"),
     )
-    recs = items.select("event_id", F.explode(object_items(F.col("item"))).alias("rec"))
-    return td.record_columns(recs, {"k": "bigint", "value": "string"})
+    recs = td.each(items, ["event_id"], object_items(F.col("item")), "rec")
+    return td.record_columns(recs, {"k": "bigint", "value": "string"}, keep=["event_id"])
 
 
 # -- quality ----------------------------------------------------------------------
@@ -654,7 +651,7 @@ def minify_pages(spark, sf):
 @query("SELECT page_id, true AS same, CAST(length(html) AS BIGINT) AS n FROM pages")
 def lossless_units_of_pages(spark, sf):
     """Cutting a page into units and joining them again changes nothing."""
-    units = lossless_units(F.col("html"), "p|a|li|h1|article|footer")
+    units = lossless_units(F.col("html"), "/?(?:p|a|li|h1)|article|footer")
     pages = D.table(spark, sf, "pages").select("page_id", "html", F.array_join(units, "").alias("joined"))
     return pages.select(
         "page_id", (F.col("html") == F.col("joined")).alias("same"), F.length("joined").cast("bigint").alias("n")
@@ -750,6 +747,31 @@ def replace_from_records(spark, sf):
     return out.select("page_id", "html")
 
 
+@query(
+    f"""WITH {D.SQL_CUSTOMER_SECTIONS}, fresh AS (
+  SELECT page_id AS p, '<table style="width: 100%;"><thead><tr><th style="text-align: center;">n</th><th style="text-align: center;">segment</th></tr></thead><tbody>' ||
+    string_agg(CASE WHEN k % 2 = 1 THEN '<tr style="background-color: #f9f9f9;">' ELSE '<tr>' END ||
+      '<td style="text-align: right;">' || n || '</td><td>' || c_mktsegment || '</td></tr>', '' ORDER BY k) || '</tbody></table>' AS t
+  FROM (SELECT page_id, c_mktsegment, count(*) AS n, row_number() OVER (PARTITION BY page_id ORDER BY count(*) DESC, c_mktsegment) AS k
+        FROM cust GROUP BY page_id, c_mktsegment) GROUP BY page_id)
+SELECT page_id, string_agg(opening || heading || CASE WHEN table_no = 1 THEN t ELSE tab END || closing, '' ORDER BY table_no) AS html
+FROM sections JOIN fresh ON page_id = p GROUP BY page_id"""
+)
+def replace_from_json(spark, sf):
+    """A JSON payload, sorted and projected, rendered and styled before it is inserted."""
+    fresh = D.customers(spark, sf).groupBy("page_id", F.col("c_mktsegment").alias("segment")).agg(
+        F.count(F.lit(1)).alias("n"), F.lit("x").alias("unused")
+    )
+    # at most one row per segment and page
+    payloads = td.render_groups(fresh, ["page_id"], ["segment", "unused", "n"], ["segment"], "json", bounded=True)
+    tables = td.replacement_tables(
+        payloads, "json", shape=ShapeOptions(sort_by="n", order="descending", fields="N, segment"),
+        style=StyleOptions(table_width="full", header_text_align="center", numeric_alignment="right", banded_rows="on"),
+    )
+    out = td.replace_from(D.customer_pages(spark, sf), tables, "page_id", "content")
+    return out.select("page_id", "html")
+
+
 def _sql_styled(row: str, cell=lambda expr, text: f"'<td>' || {text} || '</td>'", head: str = "<th>{h}</th>", opening: str = "<table>") -> str:
     cells = " || ".join(cell(c, f"CAST({c} AS VARCHAR)") for c in D.LINE_HEADERS)
     headers = "".join(head.format(h=h) for h in D.LINE_HEADERS)
@@ -821,11 +843,11 @@ UNION ALL SELECT page_id, CAST(r + 1 AS INTEGER), 2, 'nation|n', n_name || '|' |
 )
 def nested_innermost(spark, sf):
     """An inner table owns its rows; the outer cell does not repeat them."""
-    t = td.with_tables(D.nested_pages(spark, sf), "html", PLAIN).select("page_id", F.explode("tables").alias("t"))
-    return t.select(
-        "page_id", F.col("t.table_no").alias("table_no"), F.col("t.depth").alias("depth"),
-        F.array_join("t.headers", "|").alias("headers"), F.explode("t.rows").alias("r"),
-    ).select("page_id", "table_no", "depth", "headers", F.array_join("r", "|").alias("cells"))
+    t = td.each(td.with_tables(D.nested_pages(spark, sf), "html", PLAIN), ["page_id"], "tables", "t")
+    fields = [F.col("t.table_no").alias("table_no"), F.col("t.depth").alias("depth"), F.array_join("t.headers", "|").alias("headers")]
+    return td.each(t, ["page_id", *fields], "t.rows", "r").select(
+        "page_id", "table_no", "depth", "headers", F.array_join("r", "|").alias("cells")
+    )
 
 
 @query(
@@ -943,7 +965,7 @@ def wrap_output(spark, sf):
     out = td.convert(docs, "html", "objects").select("l_orderkey", "output")
     items = td.wrap_output(out, wrap=False)
     return items.select(
-        "l_orderkey", "item_no", F.try_variant_get("item", "$.line", "string").alias("line"),
+        "l_orderkey", (F.col("item_no") - 1).alias("item_no"), F.try_variant_get("item", "$.line", "string").alias("line"),
         F.try_variant_get("item", "$.flag", "string").alias("flag"),
     )
 
