@@ -99,7 +99,7 @@ def compile_selector(selector: str) -> Selector:
         raise ValueError("selector is empty")
     alternatives, names = [], []
     any_name = False
-    if selector.strip().startswith(",") or selector.strip().endswith(","):
+    if selector.strip().startswith(",") or selector.strip().endswith(",") or selector.count("[") != selector.count("]"):
         raise ValueError(f"unsupported selector: {selector!r}")
     for option in _split_top(selector, ","):
         spaced = re.sub(r"\s*>\s*(?![^\[]*\])", " > ", option)
