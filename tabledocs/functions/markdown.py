@@ -15,7 +15,7 @@ INLINE_TAGS = (
     "strong|b|em|i|code|a|br|p|ul|ol|li|h1|h2|h3|h4|h5|h6|blockquote|hr|del|s|strike|sub|sup|img"
 )
 
-_ATTRS = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_ATTRS = "(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _END = "(?=[\\s/>])"
 _SPACE = "\\s\\u00A0\\uFEFF\\p{Z}"
 

@@ -22,8 +22,9 @@ HEAD, SECTION, CAPTION, END = "\ufdd7", "\ufdd8", "\ufdd9", "\ufdda"
 NUMBERED = "\ufddb"                    # ends the number given to an un-nested table
 _MARKS = "\ufdd2-\ufddb"
 
-# The attribute part of a tag.  Possessive, so it neither backtracks nor recurses.
-ATTRS = "(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+# The attribute part of a tag.  Possessive, so it neither backtracks nor recurses;
+# an unquoted "<" ends it, so an unclosed tag does not search the rest of the page.
+ATTRS = "(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 NAME_END = "(?=[\\s/>])"
 RAW = (
     "<!--.*?(?:-->|\\z)"

@@ -37,7 +37,7 @@ def _remove_element(html: Column, name: str) -> Column:
     After an unclosed tag no closing tag can follow, so the second alternative
     takes the rest of the page in one step and the cost stays linear.
     """
-    start = f"<{name}(?:\\s[^>]*)?>"
+    start = f"<{name}(?:\\s[^<>]*)?>"
     return F.regexp_replace(html, f"(?is){start}.*?</{name}\\s*>|({start}.*\\z)", "$1")
 
 
@@ -59,7 +59,7 @@ def sanitize_html(html: Column | str) -> Column:
 
     def empty_tags(text: Column) -> Column:
         empty, every = "|".join(_EMPTY_ELEMENTS), "|".join(DANGEROUS_ELEMENTS)
-        pattern = f"(?i)</?(?:{empty})(?:\\s[^>]*)?>|<(?:{every})(?:\\s[^>]*)?/>"
+        pattern = f"(?i)</?(?:{empty})(?:\\s[^<>]*)?>|<(?:{every})(?:\\s[^<>]*)?/>"
         return F.regexp_replace(text, pattern, "")
 
     def attributes(text: Column) -> Column:
@@ -101,7 +101,7 @@ def html_depth(html: Column | str) -> Column:
         )
 
     return F.aggregate(
-        F.regexp_extract_all(as_column(html), F.lit("</?[a-zA-Z][^>]*>"), F.lit(0)),
+        F.regexp_extract_all(as_column(html), F.lit("</?[a-zA-Z][^<>]*>"), F.lit(0)),
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
         step,
         lambda state: state["most"],
@@ -118,7 +118,7 @@ def html_error(html: Column | str, max_bytes: int = MAX_HTML_BYTES, need_table:
         .when(is_blank(c), F.lit("empty or blank"))
     )
     if need_table:
-        error = error.when(~F.rlike(c, F.lit("(?i)<table[^>]*>")), F.lit("no table elements found"))
+        error = error.when(~F.rlike(c, F.lit("(?i)<table[^<>]*>")), F.lit("no table elements found"))
     # a page with few tags cannot be deep, so most pages are not walked at all
     tags = size - F.octet_length(F.replace(c, F.lit("<"), F.lit("")))
     return error.when((tags > MAX_DEPTH) & (html_depth(c) > MAX_DEPTH), F.lit("excessively nested"))

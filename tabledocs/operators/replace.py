@@ -13,7 +13,7 @@ from tabledocs.operators.style import style_tables
 from tabledocs.plans.convert import convert
 from tabledocs.plans.options import ShapeOptions, StyleOptions, TableSelector, WriteOptions
 
-_TAG_END = "(?is)^</table(?:\\s[^>]*)?>"
+_TAG_END = "(?is)^</table(?:\\s[^<>]*)?>"
 
 
 def splice_table(html: Column, table_no: Column, content: Column) -> Column:

@@ -114,10 +114,9 @@ def sort_records(records: Column | str, field: str, order: str = "ascending") ->
 def project_records(records: Column | str, wanted: str | list[str]) -> Column:
     """Keep the asked keys of each map, in the asked order and original spelling."""
     names = parse_field_list(wanted) if isinstance(wanted, str) else wanted
-    names = list({n.strip().lower(): n for n in reversed(names)}.values())[::-1] if names else []
     if not names:
         return as_column(records)
-    lowered = F.array(*[F.lit(n.strip().lower()) for n in dict.fromkeys(names)])
+    lowered = F.array(*[F.lit(n) for n in dict.fromkeys(n.strip().lower() for n in names)])
 
     def one(record: Column) -> Column:
         entries = F.map_entries(record)
