@@ -124,6 +124,12 @@ def html_error(html: Column | str, max_bytes: int = MAX_HTML_BYTES, need_table:
     return error.when((tags > MAX_DEPTH) & (html_depth(c) > MAX_DEPTH), F.lit("excessively nested"))
 
 
+def readable(html: Column | str) -> Column:
+    """The page, or NULL when it is over the size or depth limit."""
+    c = as_column(html)
+    return F.when(html_error(c, need_table=False).isNull(), c)
+
+
 def csv_error(csv: Column | str, delimiter: str = ",") -> Column:
     """Why a CSV payload cannot be read, or NULL; names the first bad row."""
     c = as_column(csv)

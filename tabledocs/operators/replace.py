@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabledocs.functions.markup import balanced_levels, lossless_units, numbered_tables, tables_column
 from tabledocs.functions.render import minify
 from tabledocs.functions.text import let
-from tabledocs.operators.quality import sanitize_html
+from tabledocs.operators.quality import html_error, sanitize_html
 from tabledocs.operators.select import no_match_error, selected_numbers
 from tabledocs.operators.style import style_tables
 from tabledocs.plans.convert import convert
@@ -85,13 +85,16 @@ def replace_table(
     """Replace the first selected table of each page.
 
     ``content`` is a column (or its name) or a literal Column.  A page without
-    such a table, or without content, stays as it is; the former gets an error.
+    such a table, or without content, stays as it is; the former gets an error, and
+    so does a page over the size or depth limit.
     """
     insert = F.col(content) if isinstance(content, str) else content
     if sanitize:
         insert = sanitize_html(insert)
     columns = [c for c in df.columns if c not in (output, error)]
-    staged = df.withColumn("__page", sanitize_html(html) if sanitize else F.col(html)).withColumn("__insert", insert)
+    staged = df.withColumn("__problem", html_error(html, need_table=False)).withColumn("__insert", insert)
+    source = F.when(F.col("__problem").isNull(), F.col(html))
+    staged = staged.withColumn("__page", sanitize_html(source) if sanitize else source)
     # captions are read only when tables are chosen by them
     read = tables_column if selector.preset == "table-with-caption" else numbered_tables
     staged = staged.withColumn("__every", read(F.col("__page")))
@@ -102,8 +105,8 @@ def replace_table(
     ).otherwise(F.col("__page"))
     return staged.select(
         *columns,
-        (result if pretty else minify(result)).alias(output),
-        no_match_error(F.col("__chosen"), selector).alias(error),
+        F.coalesce(result if pretty else minify(result), F.col(html)).alias(output),
+        F.coalesce("__problem", no_match_error(F.col("__chosen"), selector)).alias(error),
     )
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabledocs.functions.markdown import attribute
 from tabledocs.functions.markup import ANY_TAG, ATTRS, balanced_levels, lossless_units
-from tabledocs.functions.text import as_column, decode_entities, let, running_count
-from tabledocs.operators.quality import sanitize_html
+from tabledocs.functions.text import decode_entities, let, running_count
+from tabledocs.operators.quality import readable, sanitize_html
 from tabledocs.plans.options import StyleOptions
 
 # The text that counts as a number for alignment, and the row shade.
@@ -310,10 +310,12 @@ def _counted(entries: Column) -> Column:
 def style_tables(
     df: DataFrame, options: StyleOptions, html: str = "html", *, sanitize: bool = True, output: str = "html"
 ) -> DataFrame:
-    """Restyle every table of each page.  Narrow: one page, one row, no shuffle."""
+    """Restyle every table of each page.  Narrow: one page, one row, no shuffle.
+
+    A page over the size or depth limit stays as it is."""
     o = options
     columns = [c for c in df.columns if c != output]
-    page = sanitize_html(html) if sanitize else as_column(html)
+    page = sanitize_html(readable(html)) if sanitize else readable(html)
     staged = df.withColumn("__units", lossless_units(page, _TAGS))
     staged = staged.withColumn("__placed", _placed(F.col("__units")))
     if o.zebra or o.banded_rows == "on" or caption_style(o):
@@ -348,4 +350,4 @@ def style_tables(
             "",
         ),
     )
-    return staged.select(*columns, joined.alias(output))
+    return staged.select(*columns, F.coalesce(joined, F.col(html)).alias(output))

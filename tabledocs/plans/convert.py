@@ -308,7 +308,8 @@ def convert(
     staged = df.withColumn("__problem", problem)
     staged = staged.withColumn("__in", F.when(F.col("__problem").isNull(), F.col(payload)))
     if source == "html":
-        reading = replace(extract, include_headers=True)
+        # the payload passed the guard above
+        reading = replace(extract, include_headers=True, guard=False)
         staged = with_tables(staged, "__in", reading, "__tables")
         staged = staged.withColumn(
             "__problem",
