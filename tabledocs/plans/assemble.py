@@ -34,10 +34,9 @@ def oversize_keys(df: DataFrame, keys: list[str], max_rows: int, max_bytes: int)
 
     The sums are combined before the shuffle, so a hot key costs no more than
     another."""
-    size = F.octet_length("__text").cast("long")
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.sum(size).alias("__bytes"), F.max(size).alias("__widest"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.sum("__width").alias("__bytes"), F.max("__width").alias("__widest"))
         .filter((F.col("__n") > max_rows) | (F.col("__bytes") > max_bytes))
         .select(*[F.col(k).alias(f"__{k}") for k in keys], "__widest")
     )
@@ -65,12 +64,14 @@ def group_text(
     max_rows: int = MAX_PART_ROWS,
     max_bytes: int = MAX_PART_BYTES,
     bounded: bool = False,
+    width: Column | None = None,
 ) -> DataFrame:
     """``keys, part, body``: the ordered text of each group.
 
     Part 0 is a whole group; the parts of a group that is too large for one text
     are numbered upwards in order.  Sizes are measured first, by one aggregate
-    per key.  ``bounded=True`` states that every group is small by construction
+    per key; ``width`` may give a cheaper measure of a row than the length of its
+    text.  ``bounded=True`` states that every group is small by construction
     (rows of one page, say) and skips that.
     """
     columns = {n: F.col(n) for n in order} if isinstance(order, list) else order
@@ -78,6 +79,7 @@ def group_text(
     slim = df.select(
         *keys, *[c.alias(n) for n, c in zip(names, columns.values(), strict=True)], text.alias("__text")
     )
+    measured = df.select(*keys, (F.octet_length(text) if width is None else width).cast("long").alias("__width"))
 
     def whole(frame: DataFrame) -> DataFrame:
         return frame.groupBy(*keys).agg(_join_ordered(names, separator).alias("body")).select(
@@ -86,7 +88,7 @@ def group_text(
 
     if bounded:
         return whole(slim)
-    hot = oversize_keys(slim, keys, max_rows, max_bytes)
+    hot = oversize_keys(measured, keys, max_rows, max_bytes)
     found = hot.agg(F.count(F.lit(1)).alias("n"), F.max("__widest").alias("widest")).head()
     if found.n == 0:
         return whole(slim)

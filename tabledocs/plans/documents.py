@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabledocs.functions import render
 from tabledocs.functions.payload import object_items
+from tabledocs.functions.text import escape_text
 from tabledocs.operators.extract import each
 from tabledocs.plans.assemble import MAX_PART_ROWS, group_text
 from tabledocs.plans.options import WriteOptions
@@ -17,8 +18,40 @@ def _named(columns: Columns) -> dict[str, Column]:
     return columns if isinstance(columns, dict) else {c: F.col(f"`{c}`") for c in columns}
 
 
-def _texts(columns: dict[str, Column]) -> Column:
-    return F.array(*[c.cast("string") for c in columns.values()])
+def _types(df: DataFrame, columns: dict[str, Column]) -> dict[str, str]:
+    return dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
+
+
+def _width(columns: dict[str, Column], types: dict[str, str]) -> Column:
+    """Bytes of the values of a row and of the markup around them, for measuring
+    groups without writing their text."""
+    total = F.lit(24 * len(columns) + 16)
+    for name, column in columns.items():
+        if types[name] not in _PLAIN_TYPES:
+            total = total + F.coalesce(F.octet_length(column.cast("string")), F.lit(0))
+    return total
+
+
+# Types whose text has nothing to escape or quote.
+_PLAIN_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date")
+
+
+def _html_line(columns: dict[str, Column], types: dict[str, str]) -> Column:
+    parts = [F.lit("<tr>")]
+    for name, column in columns.items():
+        text = F.coalesce(column.cast("string"), F.lit(""))
+        parts += [F.lit("<td>"), text if types[name] in _PLAIN_TYPES else escape_text(text), F.lit("</td>")]
+    return F.concat(*parts, F.lit("</tr>"))
+
+
+def _csv_line(columns: dict[str, Column], types: dict[str, str], delimiter: str) -> Column:
+    safe = not set(delimiter) & set("0123456789+-.eEaflrstuINny")
+    fields = [
+        F.coalesce(c.cast("string"), F.lit("")) if types[n] in _PLAIN_TYPES and safe
+        else render.csv_field(c.cast("string"), delimiter)
+        for n, c in columns.items()
+    ]
+    return F.concat_ws(delimiter, *fields)
 
 
 def render_groups(
@@ -40,17 +73,20 @@ def render_groups(
     several complete ones, ordered by ``part``.
     """
     named = _named(columns)
+    types = _types(df, named)
     heads = F.array(*[F.lit(n) for n in named])
     if target == "html":
-        line, separator = render.html_row(_texts(named)), ""
+        line, separator = _html_line(named, types), ""
     elif target == "csv":
-        line, separator = render.csv_line(_texts(named), write.delimiter), "\n"
+        line, separator = _csv_line(named, types, write.delimiter), "\n"
     elif target == "json":
         line = F.to_json(F.struct(*[c.alias(n) for n, c in named.items()]), {"ignoreNullFields": "false"})
         separator = ","
     else:
         raise ValueError("target must be 'html', 'csv' or 'json'")
-    grouped = group_text(df, keys, order, line, separator=separator, max_rows=max_rows, bounded=bounded)
+    grouped = group_text(
+        df, keys, order, line, separator=separator, max_rows=max_rows, bounded=bounded, width=_width(named, types)
+    )
     body = F.col("body")
     if target == "html":
         text = F.concat(

@@ -46,7 +46,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, html``: one page per 50 customer keys."""
     keys = ["page_id", "r_name", "n_name"]
-    line = html_row(F.array(F.col("c_custkey").cast("string"), "c_label", "c_mktsegment"))
+    line = F.concat(
+        F.lit("<tr><td>"), F.col("c_custkey").cast("string"), F.lit("</td><td>"), escape_text(F.col("c_label")),
+        F.lit("</td><td>"), "c_mktsegment", F.lit("</td></tr>"),
+    )
     sections = group_text(customers(spark, sf_dir), keys, ["c_custkey"], line)
     # a page holds at most one section per nation, or one part of a large one
     region = Window.partitionBy("page_id", "part", "r_name").orderBy("n_name")
@@ -175,10 +178,6 @@ SQL_CONVERSATIONS = """
 conv AS (SELECT conv_id, turn, role, '"' || text || '", & <end>' AS text FROM conversations)"""
 
 
-def text_of(column: str) -> Column:
-    return escape_text(F.col(column))
-
-
 # -- nested tables: regions outside, nations inside -----------------------------------
 
 
