@@ -190,7 +190,7 @@ def test_descendant_wide_reading(pages):
 def test_records_zip_headers_and_cells(pages):
     df = pages("<table><tr><th>a</th><th>b</th><th>a</th></tr><tr><td>1</td><td>2</td><td>3</td><td>4</td></tr><tr><td>5</td></tr></table>")
     recs = td.records(df, "html", PLAIN)
-    assert [list(r.rec.items()) for r in recs.orderBy("row_no").collect()] == [[("a", "3"), ("b", "2")], [("a", "5")]]
+    assert [r[0] for r in recs.orderBy("row_no").select(F.to_json("rec")).collect()] == ['{"a":"3","b":"2"}', '{"a":"5"}']
     typed = td.record_columns(recs, {"a": "int", "missing": "string"}, keep=["row_no"]).orderBy("row_no").collect()
     assert [(r.a, r.missing) for r in typed] == [(3, None), (5, None)]
     cells = td.cells(df, "html", PLAIN).orderBy("row_no", "col_no").collect()
