@@ -11,7 +11,7 @@ From the signatures:
 
 1. documents with equal shingle sets become one representative;
 2. every band of coordinates is a bucket; each member is compared exactly with
-   the bucket's smallest member, which joins large groups without listing pairs;
+   one leading member, which joins large groups without listing pairs;
 3. buckets that still hold several components are opened: their members meet in
    blocks of bounded size, where longer signatures keep only pairs that may pass,
    and these pairs are compared exactly. Every pair of different components that
@@ -50,8 +50,8 @@ class NearCopyOptions:
     percent: int = 85
     bands: int = 25
     rows: int = 5
-    sketch: int = 512
-    slack: float = 0.08
+    sketch: int = 1024
+    slack: float = 0.055
     block: int = 256
 
 
@@ -206,7 +206,7 @@ def near_copies(docs: DataFrame, options: NearCopyOptions = NearCopyOptions()) -
     grouped = signed.where("n_shingles > 0").groupBy(*whole_set).agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     nodes = cut(grouped.withColumn("node", F.monotonically_increasing_id()))
     buckets = nodes.where("doc_id is not null").select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("members")).where("members > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     members = cut(buckets.join(shared, "bucket"))
 
     involved = nodes.drop("bands").join(members.select("node").distinct(), "node")
@@ -214,10 +214,14 @@ def near_copies(docs: DataFrame, options: NearCopyOptions = NearCopyOptions()) -
     sets = _shingle_sets(texts, options).dropDuplicates(whole_set)
     sets = cut(sets.join(involved.drop("doc_id"), whole_set).select("node", "shingles", "sketch"))
 
-    stars = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    # the member that meets most others leads: a text that was copied with changes is nearer to each copy than they are to each other
+    met = members.groupBy("node").agg(F.sum("members").alias("met"))
+    leads = members.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("lead"))
+    led = members.join(leads.select("bucket", F.col("lead.node").alias("hub")), "bucket").where("node <> hub")
+    stars = led.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     labels = components(cut(_confirmed(stars, sets, options)))
 
-    labelled = members.drop("hub").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     labelled = cut(labelled)
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     mixed = labelled.join(mixed.select("bucket"), "bucket", "left_semi")
