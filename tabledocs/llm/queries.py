@@ -4,21 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabledocs.llm.near_copies import near_copies
+from tabledocs.llm.quality import quality
+from tabledocs.llm.secrets import BASE, secrets
+from tabledocs.llm.token_counts import TokenOptions, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts(_table(spark, sf_dir, "documents"), TokenOptions(public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    judged = quality(_table(spark, sf_dir, "documents"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lines_removed", "chars_lost")
+    return judged.select("doc_id", *[F.col(f"q_{x}").alias(x) for x in names])
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    found = secrets(_table(spark, sf_dir, "documents"))
+    spans = F.col("secret_spans")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+    def listed(chosen: Column) -> Column:
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter(spans, lambda s: s["kind"].isin([r.kind for r in BASE]))
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(spans).alias("spans"),
+    )
+
+
 def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents."""
     return near_copies(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_token_counts": op4_token_counts,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
     "op10_near_copies": op10_near_copies,
 }
 
