@@ -1,24 +1,60 @@
-"""Documents to training sequences: stages, each an operator of tabledocs.llm, applied one after another."""
+"""Documents to training sequences: stages, each an operator of tabledocs.llm, applied one after another.
+
+Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabledocs.llm.near_copies import near_copies
+from tabledocs.llm.decontamination import decontaminated
+from tabledocs.llm.near_copies import without_near_copies
+from tabledocs.llm.packing import packed
+from tabledocs.llm.quality import cleaned
+from tabledocs.llm.secrets import without_secrets
+from tabledocs.llm.shared import cut
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass, without the lines that fail."""
+    return cleaned(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return docs
+    return without_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    return without_secrets(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its place in a training sequence."""
+    return packed(docs)
+
 
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
 
-STAGES = [("near_dedup", near_dedup)]
+#: SQL has no form for groups of near copies and for packing
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents; each result is a table that the next one reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tabledocs.llm import textscan
 from tabledocs.llm.links import components
-from tabledocs.llm.shared import cut, having
+from tabledocs.llm.shared import BROADCAST_IDS, cut, having
 
 #: slots of the circle
 SLOTS = 1 << 20
@@ -241,3 +241,20 @@ def near_copies(docs: DataFrame, options: NearCopyOptions = NearCopyOptions()) -
     rows = signed.drop("bands").join(known, whole_set, "left")
     component = F.coalesce("component_id", "doc_id")
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, options: NearCopyOptions = NearCopyOptions()) -> DataFrame:
+    """The rows of `docs` that near_copies keeps, with all their columns: of each group the one with the smallest doc_id.
+
+    Rows that share a doc_id stay or go together, and equal texts among them stay once. Rows without doc_id stay.
+    """
+    judged = cut(near_copies(docs, options).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
+    gone = judged.where("not kept").select("doc_id")
+    few = gone.count() <= BROADCAST_IDS
+    rest = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    repeated = judged.where("kept and rows > 1").select("doc_id")
+    if repeated.isEmpty():
+        return rest
+    # equal texts of one id meet in a partial aggregate before they move
+    single = rest.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    return single.unionByName(rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))

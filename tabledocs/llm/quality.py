@@ -136,4 +136,16 @@ def quality(docs: DataFrame, options: QualityOptions = QualityOptions()) -> Data
         "lines_removed": (F.size("lines") - F.size("left")).cast("bigint"), "chars_lost": lost,
         "text": F.array_join(F.col("left.text"), "\n"),
     }
-    return work.select("row.*", *[v.alias(f"q_{k}") for k, v in values.items()])
+    # one struct of one row: else a filter on the verdict would pull all these expressions into itself
+    verdict = F.inline_outer(F.array(F.struct(*[v.alias(f"q_{k}") for k, v in values.items()])))
+    return work.select("row", verdict).select("row.*", *[f"q_{k}" for k in values])
+
+
+def cleaned(docs: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
+    """The rows of `docs` that are kept, with all their columns; where lines were removed, the text is what remains, and n_chars, if there is one, its length."""
+    judged = quality(docs, options).where("q_kept")
+    changed = F.col("q_lines_removed") > 0
+    values = {"text": F.when(changed, F.col("q_text")).otherwise(F.col("text")).alias("text")}
+    if "n_chars" in docs.columns:
+        values["n_chars"] = F.when(changed, F.length("q_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
+    return judged.select(*[values.get(c, F.col(f"`{c}`")) for c in docs.columns])

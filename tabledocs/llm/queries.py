@@ -8,21 +8,65 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabledocs.llm.chat import format_chats, read_loss, read_turns
+from tabledocs.llm.decontamination import contamination
+from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
+from tabledocs.llm.packing import packed
 from tabledocs.llm.quality import quality
 from tabledocs.llm.secrets import BASE, secrets
 from tabledocs.llm.token_counts import TokenOptions, token_counts
+from tabledocs.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in every document."""
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document; learns from labelled rows that are not held out."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     return token_counts(_table(spark, sf_dir, "documents"), TokenOptions(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one whose texts hold marks, read back from the formatted texts."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = format_chats(turns.unionByName(tricky))
+    read = chats.select(
+        "conv_id", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"), F.length("formatted").alias("chars")
+    )
+    texts = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(texts, 256).alias("turns_sha256"),
+        F.length(F.array_join("loss", "")).cast("bigint").alias("loss_chars"), F.sha2(F.array_join("loss", ""), 256).alias("loss_sha256"),
+        F.col("chars").cast("bigint").alias("formatted_chars"),
+    )
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training sequences of every document."""
+    return packed(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     judged = quality(_table(spark, sf_dir, "documents"))
@@ -54,7 +98,12 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op4_token_counts": op4_token_counts,
+    "op5_main_text": op5_main_text,
+    "op6_chat_format": op6_chat_format,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_copies": op10_near_copies,

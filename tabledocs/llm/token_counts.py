@@ -81,7 +81,9 @@ class WordCounter(dict):
     def __missing__(self, word: str) -> int:
         n = self._old.get(word)
         if n is None:
-            n = sum(map(self._tokens, self._pieces(word)))
+            pieces = self._pieces(word)
+            # pieces are words of their own, met in other company before
+            n = self._tokens(word) if pieces == [word] else sum(map(self.__getitem__, pieces))
         if len(word) <= REMEMBERED_LENGTH:
             if len(self) >= REMEMBERED:
                 self._old = dict(self)
