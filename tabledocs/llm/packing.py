@@ -18,13 +18,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabledocs.llm.shared import text_of
+from tabledocs.llm.shared import cut, text_of
 
 
 @dataclass(frozen=True)
 class PackingOptions:
     """lengths: permitted tokens of a sequence; overhead: what each sequence costs besides its tokens; attention: tokens at which
-    attention, which grows with the square of the length, costs as much as the rest; shard: documents that are packed together, on average, which bounds a task's memory."""
+    attention, which grows with the square of the length, costs as much as the rest; shard: pieces that are packed together, on average, which bounds a task's memory."""
 
     lengths: tuple[int, ...] = (512, 1024, 2048, 4096, 8192)
     overhead: int = 256
@@ -92,15 +92,15 @@ def packed(docs: DataFrame, options: PackingOptions = PackingOptions(), length:
     """
     tokens = F.greatest(F.coalesce(length if length is not None else word_count(F.col("text")), F.lit(0)).cast("bigint"), F.lit(0).cast("bigint"))
     # repeated rows are counted before anything moves
-    sizes = docs.select(F.col("doc_id").cast("bigint"), tokens.alias("tokens")).groupBy("doc_id", "tokens").count()
+    sizes = cut(docs.select(F.col("doc_id").cast("bigint"), tokens.alias("tokens")).groupBy("doc_id", "tokens").count())
     rows = sizes.select("doc_id", "tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1)).alias("copy"))
     longest = max(options.lengths)
     pieces = F.greatest(F.ceil(F.col("tokens") / longest).cast("bigint"), F.lit(1))
     rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
     rows = rows.withColumn("start", F.col("piece") * longest).withColumn("n_tokens", F.least(F.col("tokens") - F.col("start"), F.lit(longest))).drop("tokens")
-    # the number of shards follows from a count of rows; the hash spreads every document, copy and piece by itself
-    total = docs.count()
-    shards = max(1, -(-total // options.shard))
+    # the number of shards follows from a count of pieces; the hash spreads every document, copy and piece by itself
+    total = sizes.agg(F.sum(pieces * F.col("count"))).head()[0] or 0
+    shards = max(1, -(-int(total) // options.shard))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "copy", "piece", "n_tokens"), F.lit(shards)))
     schema = "doc_id bigint, copy bigint, piece bigint, start bigint, n_tokens bigint, sequence string, place bigint, sequence_length bigint"
 
