@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabledocs.functions.text import let, trim_text
+from tabledocs.functions.text import as_column, let, trim_text
 
 _FIELD_END, _RECORD_END = "\ufdd0", "\ufdd1"
 _OBJECT, _TYPED_OBJECT = "map<string,string>", "map<string,variant>"
@@ -127,14 +127,38 @@ def json_shape(json: Column) -> Column:
     )
 
 
+def json_invalid(json: Column | str) -> Column:
+    """Whether a text is no JSON value.  Values are only stepped over, so that size and repeated keys do not matter."""
+    c = as_column(json)
+    # a second item that must be reached shows that the text is one value, and nothing more
+    pair = F.from_json(
+        F.concat(F.lit("["), c, F.lit(',"\\u0001"]')), "array<string>",
+        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"},
+    )
+    return let(pair, lambda p: F.coalesce((F.size(p) != 2) | (F.get(p, F.lit(1)) != "\u0001"), F.lit(True)))
+
+
+def last_wins(record: Column) -> Column:
+    """A map without repeated keys: a key stays at its first place and has its last value."""
+
+    def merged(m: Column) -> Column:
+        keys = F.array_distinct(F.map_keys(m))
+        entries = F.reverse(F.map_entries(m))
+        return F.map_from_arrays(
+            keys, F.transform(keys, lambda k: F.get(F.filter(entries, lambda e: e["key"] == k), F.lit(0))["value"])
+        )
+
+    return let(record, lambda m: F.when(F.size(F.array_distinct(F.map_keys(m))) < F.size(m), merged(m)).otherwise(m))
+
+
 def json_records(json: Column, typed: bool = False) -> Column:
     """Array of maps: the objects of an array, or a single object as one record.
     Values are text, or VARIANT when ``typed``."""
     kind = _TYPED_OBJECT if typed else _OBJECT
     return let(
         json,
-        lambda j: F.when(F.rlike(j, F.lit("^\\s*\\{")), F.array(F.from_json(j, kind))).otherwise(
-            F.from_json(j, f"array<{kind}>")
+        lambda j: F.when(F.rlike(j, F.lit("^\\s*\\{")), F.array(last_wins(F.from_json(j, kind)))).otherwise(
+            F.transform(F.from_json(j, f"array<{kind}>"), last_wins)
         ),
     )
 
@@ -155,9 +179,9 @@ def object_items(payload: Column, unwrap: str = "convertedData", typed: bool = F
         return (
             F.when(F.rlike(v, F.lit("^\\s*\\[")), F.transform(
                 F.filter(F.from_json(v, "array<string>"), lambda x: F.rlike(x, F.lit("^\\s*\\{"))),
-                lambda x: F.from_json(x, kind),
+                lambda x: last_wins(F.from_json(x, kind)),
             ))
-            .when(F.rlike(v, F.lit("^\\s*\\{")), F.array(F.from_json(v, kind)))
+            .when(F.rlike(v, F.lit("^\\s*\\{")), F.array(last_wins(F.from_json(v, kind))))
             .otherwise(F.array().cast(f"array<{kind}>"))
         )
 
@@ -166,12 +190,12 @@ def object_items(payload: Column, unwrap: str = "convertedData", typed: bool = F
         single = let(
             inner,
             lambda m: F.when(F.map_contains_key(m, unwrap), let(m[unwrap], of_value)).otherwise(
-                F.array(F.map_filter(F.from_json(p, kind), lambda k, _: ~k.startswith("__")))
+                F.array(F.map_filter(last_wins(F.from_json(p, kind)), lambda k, _: ~k.startswith("__")))
             ),
         )
         text = F.parse_json(F.to_json(F.array(p))).try_cast("array<variant>")[0] if typed else p
         return (
-            F.when(F.try_parse_json(p).isNull(), F.array(F.create_map(F.lit("value"), text)))
+            F.when(json_invalid(p), F.array(F.create_map(F.lit("value"), text)))
             .when(F.rlike(p, F.lit("^\\s*\\{")), single)
             .otherwise(of_value(p))
         )
@@ -182,8 +206,8 @@ def object_items(payload: Column, unwrap: str = "convertedData", typed: bool = F
 def key_value_rows(json: Column, qualified: bool = False) -> Column:
     """A single object as (key, value) pairs; a nested object contributes its
     own keys (prefixed with the parent key when ``qualified``)."""
-    typed = F.map_entries(F.from_json(json, "map<string,variant>"))
-    texts = F.map_entries(F.from_json(json, _OBJECT))
+    typed = F.map_entries(last_wins(F.from_json(json, "map<string,variant>")))
+    texts = F.map_entries(last_wins(F.from_json(json, _OBJECT)))
 
     def pairs(entry: Column) -> Column:
         kind, key, text = entry["kind"], entry["key"], entry["text"]

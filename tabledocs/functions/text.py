@@ -71,6 +71,11 @@ def _named_entities() -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
+def _short_names() -> str:
+    """Names that also count without a semicolon, the longest first, as alternatives of a pattern."""
+    return "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+
+
 def _code_point(number: Column) -> Column:
     valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF) & ~number.between(0xFDD0, 0xFDEF)
     return F.when(
@@ -97,10 +102,12 @@ def _decode_reference(tail: Column) -> Column:
             .otherwise(F.try_element_at(_named_entities(), found))
         )
 
+    short = F.regexp_extract(tail, f"^(#[0-9]{{1,7}}|#[xX][0-9a-fA-F]{{1,6}}|{_short_names()})", 1)
     return let(
-        name,
+        F.struct(name.alias("whole"), short.alias("short")),
         lambda found: F.coalesce(
-            F.concat(resolve(found), F.substr(tail, F.length(found) + F.lit(2))),
+            F.concat(resolve(found["whole"]), F.substr(tail, F.length(found["whole"]) + F.lit(2))),
+            F.concat(resolve(found["short"]), F.substr(tail, F.length(found["short"]) + F.lit(1))),
             F.concat(F.lit("&"), tail),
         ),
     )
@@ -108,11 +115,11 @@ def _decode_reference(tail: Column) -> Column:
 
 # Entities that cover nearly all pages; anything else takes the general path.
 _COMMON = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&"))
-_UNCOMMON = "&(?!(?:lt|gt|quot|#39|nbsp|amp);)(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])[A-Za-z0-9]*;"
+_UNCOMMON = "&(?!(?:lt|gt|quot|#39|nbsp|amp);)(?:#[0-9]|#[xX][0-9a-fA-F]|[A-Za-z])"
 
 
 def decode_entities(value: Column) -> Column:
-    """Resolve named, decimal and hexadecimal character references."""
+    """Resolve named, decimal and hexadecimal character references; old names and numbers also without a semicolon."""
 
     def decode(text: Column) -> Column:
         common = text

@@ -13,7 +13,7 @@ from tabledocs.functions.markup import HEADING_PATH_TYPE, heading_paths, tables_
 from tabledocs.functions.nested import tables_with_nested
 from tabledocs.functions.payload import zip_record
 from tabledocs.functions.text import as_column, let
-from tabledocs.operators.quality import readable, sanitize_html
+from tabledocs.operators.quality import sanitize_html
 from tabledocs.operators.select import select_tables
 from tabledocs.plans.options import ExtractOptions
 
@@ -32,14 +32,14 @@ def with_tables(df: DataFrame, html: str = "html", options: ExtractOptions = Ext
     """Add the selected tables of each page as one array column of
     ``struct<table_no, n_tables, depth, caption, headers, rows, heading_path>``.
 
-    A page over the size or depth limit yields no tables (see ``html_error`` for
-    the reason).  ``heading_path`` is empty unless headings are asked for.  Header rows are not
+    Pages of any size and depth are read; to set some aside, split by
+    ``html_error`` first.  ``heading_path`` is empty unless headings are asked for.  Header rows are not
     part of ``rows``; with ``include_headers=False`` the headers are dropped.
     The steps are separate projections of one narrow stage.
     """
     o = options
     columns = df.columns
-    source = readable(html) if o.guard else as_column(html)
+    source = as_column(html)
     page = sanitize_html(source) if o.sanitize else source
     staged = df.withColumn("__page", page)
     h, every = F.col("__page"), F.col("__every")

@@ -9,13 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabledocs.functions.text import as_column, is_blank, let, trim_text
-from tabledocs.functions.payload import csv_cells, csv_quote_error, json_shape
+from tabledocs.functions.payload import csv_cells, csv_quote_error, json_invalid, json_shape
 
-# Input limits.
+# Input limits.  They hold only where a caller passes them to a guard.
 MAX_HTML_BYTES = 10 * 1024 * 1024
 MAX_JSON_BYTES = 50 * 1024 * 1024
 MAX_DEPTH = 100
 
+# Elements without content, and those whose end may be left out: neither nests.
+_FLAT_ELEMENTS = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+    "p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "colgroup", "option", "optgroup", "rt", "rp",
+)
+
 # Elements and attributes that can carry active content.
 DANGEROUS_ELEMENTS = (
     "script", "iframe", "object", "embed", "form", "input", "button", "select", "textarea",
@@ -87,7 +93,7 @@ def sanitize_html(html: Column | str) -> Column:
 
 
 def html_depth(html: Column | str) -> Column:
-    """Deepest nesting of tags, by counting opening and closing tags."""
+    """Deepest nesting of tags, by counting opening and closing tags of elements that must be closed."""
 
     def step(state: Column, tag: Column) -> Column:
         closing = tag.startswith("</")
@@ -101,33 +107,31 @@ def html_depth(html: Column | str) -> Column:
         )
 
     return F.aggregate(
-        F.regexp_extract_all(as_column(html), F.lit("</?[a-zA-Z][^<>]*>"), F.lit(0)),
+        F.regexp_extract_all(
+            as_column(html), F.lit(f"(?i)</?(?!(?:{'|'.join(_FLAT_ELEMENTS)})[\\s/>])[a-z][^<>]*>"), F.lit(0)
+        ),
         F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
         step,
         lambda state: state["most"],
     )
 
 
-def html_error(html: Column | str, max_bytes: int = MAX_HTML_BYTES, need_table: bool = True) -> Column:
-    """Why a page cannot be read, or NULL."""
+def html_error(html: Column | str, max_bytes: int | None = None, need_table: bool = True,
+               max_depth: int | None = None) -> Column:
+    """Why a page cannot be read, or NULL.  Size and depth are limited only where a limit is given."""
     c = as_column(html)
     size = F.octet_length(c)
-    error = (
-        F.when(c.isNull() | (c == ""), F.lit("must be a non-empty string"))
-        .when(size > max_bytes, F.concat(F.lit("too large: "), size, F.lit(f" bytes exceeds {max_bytes}")))
-        .when(is_blank(c), F.lit("empty or blank"))
-    )
+    error = F.when(c.isNull() | (c == ""), F.lit("must be a non-empty string"))
+    if max_bytes is not None:
+        error = error.when(size > max_bytes, F.concat(F.lit("too large: "), size, F.lit(f" bytes exceeds {max_bytes}")))
+    error = error.when(is_blank(c), F.lit("empty or blank"))
     if need_table:
-        error = error.when(~F.rlike(c, F.lit("(?i)<table[^<>]*>")), F.lit("no table elements found"))
-    # a page with few tags cannot be deep, so most pages are not walked at all
-    tags = size - F.octet_length(F.replace(c, F.lit("<"), F.lit("")))
-    return error.when((tags > MAX_DEPTH) & (html_depth(c) > MAX_DEPTH), F.lit("excessively nested"))
-
-
-def readable(html: Column | str) -> Column:
-    """The page, or NULL when it is over the size or depth limit."""
-    c = as_column(html)
-    return F.when(html_error(c, need_table=False).isNull(), c)
+        error = error.when(html_table_error(c).isNotNull(), F.lit("no table elements found"))
+    if max_depth is not None:
+        # a page with few tags cannot be deep, so most pages are not walked at all
+        tags = size - F.octet_length(F.replace(c, F.lit("<"), F.lit("")))
+        error = error.when((tags > max_depth) & (html_depth(c) > max_depth), F.lit("excessively nested"))
+    return error
 
 
 def csv_error(csv: Column | str, delimiter: str = ",") -> Column:
@@ -203,21 +207,20 @@ def _unbalanced(json: Column) -> Column:
 _FUNCTIONS = "\\bfunction\\s*\\(|\\([^)]*\\)\\s*=>"
 
 
-def json_safety_error(json: Column | str, max_bytes: int = MAX_JSON_BYTES, max_depth: int = MAX_DEPTH,
+def json_safety_error(json: Column | str, max_bytes: int | None = None, max_depth: int | None = None,
                       allow_functions: bool = False) -> Column:
-    """Size, balance, depth and content checks of a JSON text, then parsing."""
+    """Balance and content checks of a JSON text, then parsing; size and depth are limited only where a limit is given."""
     c = as_column(json)
     size = F.octet_length(c)
-    error = (
-        F.when(c.isNull() | (c == ""), F.lit("must be a non-empty string"))
-        .when(size > max_bytes, F.concat(F.lit("too large: "), size, F.lit(f" bytes exceeds {max_bytes}")))
-        .when(is_blank(c), F.lit("empty or blank"))
-        .when(_unbalanced(c), F.lit("malformed structure"))
-        .when(json_depth(c) > max_depth, F.lit("too deeply nested"))
-    )
+    error = F.when(c.isNull() | (c == ""), F.lit("must be a non-empty string"))
+    if max_bytes is not None:
+        error = error.when(size > max_bytes, F.concat(F.lit("too large: "), size, F.lit(f" bytes exceeds {max_bytes}")))
+    error = error.when(is_blank(c), F.lit("empty or blank")).when(_unbalanced(c), F.lit("malformed structure"))
+    if max_depth is not None:
+        error = error.when(json_depth(c) > max_depth, F.lit("too deeply nested"))
     if not allow_functions:
         error = error.when(F.rlike(c, F.lit(_FUNCTIONS)), F.lit("contains functions"))
-    return error.when(F.try_parse_json(c).isNull(), F.lit("parsing failed"))
+    return error.when(json_invalid(c), F.lit("parsing failed"))
 
 
 def json_error(json: Column | str, strict_keys: bool = True) -> Column:
@@ -251,7 +254,7 @@ def json_error(json: Column | str, strict_keys: bool = True) -> Column:
         odd = at(items, lambda v: v.isNull() | ~trim_text(v).startswith("{"))
         result = F.when(odd.isNotNull(), F.concat(F.lit("item at index "), odd, F.lit(" is not an object")))
         if strict_keys:
-            keys = F.transform(items, lambda v: F.array_join(F.array_sort(F.json_object_keys(v)), ","))
+            keys = F.transform(items, lambda v: F.array_sort(F.array_distinct(F.json_object_keys(v))))
             differs = let(keys, lambda ks: at(ks, lambda k: k != F.get(ks, F.lit(0))))
             return F.when(odd.isNotNull(), result).otherwise(
                 let(
@@ -274,7 +277,7 @@ def json_error(json: Column | str, strict_keys: bool = True) -> Column:
 
     return (
         F.when(c.isNull() | is_blank(c), F.lit("input is empty"))
-        .when(F.try_parse_json(c).isNull(), F.lit("invalid JSON"))
+        .when(json_invalid(c), F.lit("invalid JSON"))
         .otherwise(let(json_shape(c), shaped))
     )
 
@@ -282,25 +285,27 @@ def json_error(json: Column | str, strict_keys: bool = True) -> Column:
 def object_error(payload: Column | str) -> Column:
     """An object payload must parse to an object or an array."""
     c = as_column(payload)
-    return F.when(F.try_parse_json(c).isNull(), F.lit("invalid object")).when(
+    return F.when(json_invalid(c), F.lit("invalid object")).when(
         ~F.rlike(c, F.lit("^\\s*[\\[{]")), F.lit("must be an object or array")
     )
 
 
 def html_table_error(html: Column | str) -> Column:
+    """Whether a page lacks tables, as an error text."""
     c = as_column(html)
-    return F.when(F.regexp_count(c, F.lit("(?i)<table(?=[\\s/>])")) == 0, F.lit("no tables found"))
+    return F.when(~F.rlike(c, F.lit("(?i)<table(?=[\\s/>])")), F.lit("no tables found"))
 
 
-def input_error(payload: Column | str, source: str, delimiter: str = ",", strict_keys: bool = True) -> Column:
-    """Error of a payload of the given format, or NULL."""
+def input_error(payload: Column | str, source: str, delimiter: str = ",", strict_keys: bool = True,
+                allow_functions: bool = True) -> Column:
+    """Error of a payload of the given format, or NULL.  Text that looks like code is refused only on request."""
     c = as_column(payload)
     if source == "objects":
         return object_error(c)
     checks = {
         "html": lambda: html_error(c),
         "csv": lambda: csv_error(c, delimiter),
-        "json": lambda: F.coalesce(json_safety_error(c), json_error(c, strict_keys)),
+        "json": lambda: F.coalesce(json_safety_error(c, allow_functions=allow_functions), json_error(c, strict_keys)),
     }
     if source not in checks:
         raise ValueError(f"unsupported format: {source!r}")

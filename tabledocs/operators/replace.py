@@ -85,8 +85,7 @@ def replace_table(
     """Replace the first selected table of each page.
 
     ``content`` is a column (or its name) or a literal Column.  A page without
-    such a table, or without content, stays as it is; the former gets an error, and
-    so does a page over the size or depth limit.
+    such a table, or without content, stays as it is; the former gets an error.
     """
     insert = F.col(content) if isinstance(content, str) else content
     if sanitize:
@@ -139,12 +138,20 @@ def replace_from(
     selector: TableSelector = TableSelector("first-table"),
     **options,
 ) -> DataFrame:
-    """Replace per page by key.  The replacement frame needs one row per key.
+    """Replace per page by key: one row out for each page.
 
-    An ordinary left join: Spark broadcasts the replacements when their size at
-    run time allows it, and splits the partition of a hot key when not.
+    A key with several replacements names none of them, so its page stays as it is, with
+    an error.  Replacements are counted per key before the join, with partial sums, so a key
+    repeated very often costs no more than another.  The join is an ordinary left join:
+    Spark broadcasts the replacements when their size at run time allows it, and splits the
+    partition of a hot key when not.
     """
-    side = replacements.select(F.col(key).alias("__key"), F.col(content).alias("__content"))
+    error = options.get("error", "error")
+    side = replacements.groupBy(F.col(key).alias("__key")).agg(
+        F.min(content).alias("__content"), F.count(F.lit(1)).alias("__count")
+    )
     joined = docs.join(side, docs[key].eqNullSafe(F.col("__key")), "left").drop("__key")
-    out = replace_table(joined, F.col("__content"), html, selector, **options)
-    return out.drop("__content")
+    single = F.when(F.col("__count") == 1, F.col("__content"))
+    out = replace_table(joined, single, html, selector, **options)
+    several = F.when(F.col("__count") > 1, F.concat(F.col("__count").cast("string"), F.lit(" replacements for one page")))
+    return out.withColumn(error, F.coalesce(several, error)).drop("__content", "__count")

@@ -1,21 +1,18 @@
-"""From many rows to one text per group, safe for groups of any size.
+"""From many rows to texts of groups of any size, by one rule.
 
-A group whose text is small is collected and joined in order.  A group with more
-rows or bytes than a part may hold is never collected whole: its rows are
-range-partitioned by group and order, and every stretch of consecutive rows
-becomes a part of its own.  Nothing is dropped; ``part`` orders the parts.
+The rows of a group are ranked, and every ``max_rows`` consecutive ranks make a
+part: a text of its own.  The rule is the same for every group, depends on the
+rows alone, and bounds what a task collects.  Nothing is measured beforehand, so
+no job runs while a frame is built.
 """
 
 from __future__ import annotations
 
 import tempfile
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-MAX_PART_ROWS = 20_000
-MAX_PART_BYTES = 64 * 1024 * 1024
-MAX_BROADCAST_KEYS = 10_000
+PART_ROWS = 20_000
 
 
 def _join_ordered(order: list[str], separator: str) -> Column:
@@ -23,37 +20,6 @@ def _join_ordered(order: list[str], separator: str) -> Column:
     return F.array_join(F.transform(collected, lambda s: s["__text"]), separator)
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
-    )
-
-
-def oversize_keys(df: DataFrame, keys: list[str], max_rows: int, max_bytes: int) -> DataFrame:
-    """Keys whose text is too large to collect, with the size of their widest row.
-
-    The sums are combined before the shuffle, so a hot key costs no more than
-    another."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.sum("__width").alias("__bytes"), F.max("__width").alias("__widest"))
-        .filter((F.col("__n") > max_rows) | (F.col("__bytes") > max_bytes))
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], "__widest")
-    )
-
-
-def _in_parts(df: DataFrame, keys: list[str], order: list[str], separator: str, rows: int) -> DataFrame:
-    """Consecutive rows share a part; no part holds more than ``rows`` rows."""
-    by = [*keys, *order, "__text"]
-    placed = (
-        df.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        # ids grow along the sort order, within a partition and across partitions
-        .withColumn("part", F.floor(F.monotonically_increasing_id() / F.lit(rows)).cast("long") + F.lit(1))
-    )
-    return placed.groupBy(*keys, "part").agg(_join_ordered(order, separator).alias("body"))
-
-
 def group_text(
     df: DataFrame,
     keys: list[str],
@@ -61,49 +27,31 @@ def group_text(
     text: Column,
     *,
     separator: str = "",
-    max_rows: int = MAX_PART_ROWS,
-    max_bytes: int = MAX_PART_BYTES,
+    max_rows: int = PART_ROWS,
     bounded: bool = False,
-    width: Column | None = None,
 ) -> DataFrame:
-    """``keys, part, body``: the ordered text of each group.
+    """``keys, part, body``: the ordered texts of each group.
 
-    Part 0 is a whole group; the parts of a group that is too large for one text
-    are numbered upwards in order.  Sizes are measured first, by one aggregate
-    per key; ``width`` may give a cheaper measure of a row than the length of its
-    text.  ``bounded=True`` states that every group is small by construction
-    (rows of one page, say) and skips that.
+    Part p holds the rows of ranks p * max_rows + 1 to (p + 1) * max_rows in the
+    order given; rows that tie are ordered by their text.  The ranks of a group come
+    from a sort that may spill, and only a part is ever collected.  ``bounded=True`` states that every group is small by
+    construction (rows of one page, say), which makes it part 0 without ranks.
+    Without keys the rows are ranked over range partitions (see ``ordered_position``).
     """
     columns = {n: F.col(n) for n in order} if isinstance(order, list) else order
     names = [f"__o{i}" for i in range(len(columns))]
     slim = df.select(
         *keys, *[c.alias(n) for n, c in zip(names, columns.values(), strict=True)], text.alias("__text")
     )
-    measured = df.select(*keys, (F.octet_length(text) if width is None else width).cast("long").alias("__width"))
-
-    def whole(frame: DataFrame) -> DataFrame:
-        return frame.groupBy(*keys).agg(_join_ordered(names, separator).alias("body")).select(
-            *keys, F.lit(0).cast("long").alias("part"), "body"
-        )
-
     if bounded:
-        return whole(slim)
-    hot = oversize_keys(measured, keys, max_rows, max_bytes)
-    found = hot.agg(F.count(F.lit(1)).alias("n"), F.max("__widest").alias("widest")).head()
-    if found.n == 0:
-        return whole(slim)
-    # as many rows per part as fit when every row were as wide as the widest
-    rows = max(1, min(max_rows, max_bytes // max(1, found.widest)))
-    if not keys:
-        return _in_parts(slim, keys, names, separator, rows).select("part", "body")
-    hot = hot.drop("__widest")
-    # the list of hot keys is broadcast only when it was counted to be short
-    hot = F.broadcast(hot) if found.n <= MAX_BROADCAST_KEYS else hot
-    small = slim.join(hot, _same_keys(slim, hot, keys), "left_anti")
-    large = slim.join(hot, _same_keys(slim, hot, keys), "left_semi")
-    return whole(small).unionByName(
-        _in_parts(large, keys, names, separator, rows).select(*keys, "part", "body")
-    )
+        placed = slim.withColumn("part", F.lit(0).cast("long"))
+    elif keys:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*names, "__text"))
+        placed = slim.withColumn("part", F.floor((rank - 1) / F.lit(max_rows)).cast("long"))
+    else:
+        placed = ordered_position(slim, [F.col(n) for n in (*names, "__text")], "__rank")
+        placed = placed.withColumn("part", F.floor((F.col("__rank") - 1) / F.lit(max_rows)).cast("long"))
+    return placed.groupBy(*keys, "part").agg(_join_ordered(names, separator).alias("body"))
 
 
 def ordered_position(df: DataFrame, by: list[Column], output: str = "position") -> DataFrame:

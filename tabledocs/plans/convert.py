@@ -308,8 +308,7 @@ def convert(
     staged = df.withColumn("__problem", problem)
     staged = staged.withColumn("__in", F.when(F.col("__problem").isNull(), F.col(payload)))
     if source == "html":
-        # the payload passed the guard above
-        reading = replace(extract, include_headers=True, guard=False)
+        reading = replace(extract, include_headers=True)
         staged = with_tables(staged, "__in", reading, "__tables")
         staged = staged.withColumn(
             "__problem",
@@ -352,5 +351,5 @@ def wrap_output(df: DataFrame, column: str = "output", name: str = "convertedDat
 
 
 def fill_empty(df: DataFrame, ids: DataFrame, key: str, target: str, output: str = "output") -> DataFrame:
-    """Every id of ``ids``, with the empty result of the format where none was built."""
+    """Every id of ``ids``, with the empty result of the format where none was built; each part of an output is a row."""
     return ids.join(df, key, "left").withColumn(output, F.coalesce(output, F.lit(EMPTY[target])))

@@ -8,7 +8,7 @@ from tabledocs.functions import render
 from tabledocs.functions.payload import object_items
 from tabledocs.functions.text import escape_text
 from tabledocs.operators.extract import each
-from tabledocs.plans.assemble import MAX_PART_ROWS, group_text
+from tabledocs.plans.assemble import PART_ROWS, group_text
 from tabledocs.plans.options import WriteOptions
 
 Columns = dict[str, Column] | list[str]
@@ -22,20 +22,6 @@ def _types(df: DataFrame, columns: dict[str, Column]) -> dict[str, str]:
     return dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
 
 
-def _width(columns: dict[str, Column], types: dict[str, str]) -> Column:
-    """Bytes of the values of a row and of the markup around them, for measuring
-    groups without writing their text."""
-    total = F.lit(24 * len(columns) + 16)
-    for name, column in columns.items():
-        if types[name] not in _PLAIN_TYPES:
-            total = total + F.coalesce(F.octet_length(column.cast("string")), F.lit(0))
-    return total
-
-
-# Types whose text has nothing to escape or quote.
-_PLAIN_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date")
-
-
 def _html_line(columns: dict[str, Column], types: dict[str, str]) -> Column:
     parts = [F.lit("<tr>")]
     for name, column in columns.items():
@@ -44,6 +30,10 @@ def _html_line(columns: dict[str, Column], types: dict[str, str]) -> Column:
     return F.concat(*parts, F.lit("</tr>"))
 
 
+# Types whose text has nothing to escape or quote.
+_PLAIN_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date")
+
+
 def _csv_line(columns: dict[str, Column], types: dict[str, str], delimiter: str) -> Column:
     safe = not set(delimiter) & set("0123456789+-.eEaflrstuINny")
     fields = [
@@ -63,14 +53,14 @@ def render_groups(
     *,
     caption: str | None = None,
     write: WriteOptions = WriteOptions(),
-    max_rows: int = MAX_PART_ROWS,
+    max_rows: int = PART_ROWS,
     bounded: bool = False,
     output: str = "payload",
 ) -> DataFrame:
     """``keys, part, payload``: the rows of each group as one table or text.
 
-    ``caption`` names a key column.  A group too large for one text is written as
-    several complete ones, ordered by ``part``.
+    ``caption`` names a key column.  Every ``max_rows`` rows of a group are one
+    complete text, ordered by ``part``.
     """
     named = _named(columns)
     types = _types(df, named)
@@ -84,9 +74,7 @@ def render_groups(
         separator = ","
     else:
         raise ValueError("target must be 'html', 'csv' or 'json'")
-    grouped = group_text(
-        df, keys, order, line, separator=separator, max_rows=max_rows, bounded=bounded, width=_width(named, types)
-    )
+    grouped = group_text(df, keys, order, line, separator=separator, max_rows=max_rows, bounded=bounded)
     body = F.col("body")
     if target == "html":
         text = F.concat(
@@ -117,7 +105,7 @@ def combine_objects(
     target: str = "json",
     *,
     write: WriteOptions = WriteOptions(),
-    max_rows: int = MAX_PART_ROWS,
+    max_rows: int = PART_ROWS,
 ) -> DataFrame:
     """``part, payload``: the objects of all items as one output.
 

@@ -93,10 +93,8 @@ class ExtractOptions:
     heading_selector: str = ""
     include_nested: bool = False
     sanitize: bool = True
-    guard: bool = True                    # pages over the size or depth limit have no tables
 
     def __post_init__(self) -> None:
-        _check(self, "guard", bool)
         _check(self, "include_headers", bool)
         _check(self, "cell_format", str, choices=("text", "markdown"))
         _check(self, "heading_selector", str)

@@ -12,9 +12,12 @@ def errors(spark, texts, column):
     return [r[0] for r in df.select(column).collect()]
 
 
+from tabledocs.operators.quality import MAX_DEPTH, MAX_HTML_BYTES, MAX_JSON_BYTES  # noqa: E402
+
+
 def test_html_guard(spark):
     texts = ["", " \n ", "<p>x</p>", TABLE, "<div>" * 101 + TABLE, "<div>" * 99 + TABLE, None, "<br/>" * 500 + TABLE, "<i></i>" * 500 + TABLE]
-    assert errors(spark, texts, td.html_error("p")) == [
+    assert errors(spark, texts, td.html_error("p", MAX_HTML_BYTES, max_depth=MAX_DEPTH)) == [
         "must be a non-empty string", "empty or blank", "no table elements found", None, "excessively nested", None,
         "must be a non-empty string", None, None,
     ]
@@ -68,7 +71,7 @@ def test_json_error(spark):
 def test_json_safety(spark):
     texts = ["", "  ", '{"a":1', '{"a":"}{"}', "]" + "[", '{"f":"function (x) {}"}', '{"f":"(a, b) => a"}', "[" * 101 + "]" * 101,
              "[" * 100 + "]" * 100, "{a:1}", '{"__proto__":{"x":1}}', '{"s":"\\"[["}']
-    assert errors(spark, texts, td.json_safety_error("p")) == [
+    assert errors(spark, texts, td.json_safety_error("p", MAX_JSON_BYTES, MAX_DEPTH)) == [
         "must be a non-empty string", "empty or blank", "malformed structure", None, "malformed structure", "contains functions",
         "contains functions", "too deeply nested", None, "parsing failed", None, None,
     ]

@@ -29,17 +29,31 @@ def test_hot_groups_are_written_in_bounded_ordered_parts(spark):
         rows = json.loads(r.payload)
         assert len(rows) <= 300
         by_key.setdefault(r.k, []).extend(x["v"] for x in rows)
-        assert (r.part == 0) == (r.k != "hot")
     expected = {}
     for r in df.orderBy("v").collect():
         expected.setdefault(r.k, []).append(r.v)
     assert by_key == expected and None in by_key
 
 
-def test_wide_rows_are_bounded_by_bytes(spark):
-    wide = spark.range(200).select(F.lit("a").alias("k"), "id", F.repeat(F.lit("y"), 1000).alias("t"))
-    out = td.group_text(wide, ["k"], ["id"], F.col("t"), max_bytes=10_000).collect()
-    assert max(len(r.body) for r in out) <= 10_000 and sum(len(r.body) for r in out) == 200_000
+@pytest.mark.parametrize(("partitions", "adaptive"), [(1, "true"), (7, "false"), (200, "true")])
+def test_parts_depend_on_the_rows_alone(spark, partitions, adaptive):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = skewed(spark).repartition(partitions)
+        out = td.group_text(df, ["k"], ["v"], F.col("v").cast("string"), separator=",", max_rows=300).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    hot = {r.part: r.body for r in out if r.k == "hot"}
+    assert hot == {p: ",".join(str(3 * v) for v in range(300 * p, min(300 * p + 300, 2000))) for p in range(7)}
+
+
+def test_no_job_while_a_frame_is_built(spark):
+    spark.sparkContext.setJobGroup("build", "build")
+    td.render_groups(skewed(spark), ["k"], ["v", "t"], ["v"], "json", max_rows=300)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert not jobs
 
 
 def test_whole_batch_in_parts(spark):

@@ -15,6 +15,7 @@ from tabledocs.functions.payload import (
     csv_records, json_records, json_rows, json_shape, key_value_rows, object_items, zip_record,
 )
 from tabledocs.functions.text import decode_entities, escape_html
+from tabledocs.operators.quality import MAX_DEPTH, MAX_HTML_BYTES, MAX_JSON_BYTES
 from tabledocs.operators.select import no_match_error
 from tabledocs.operators.shape import sort_keys
 from tabledocs.plans.assemble import checkpoint_folder
@@ -105,10 +106,10 @@ def all_at_once(spark, sf):
     return td.record_columns(recs, {"c_custkey": "bigint", "c_name": "string", "c_mktsegment": "string"}, keep=[])
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type = 'error'")
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def combine_all_objects(spark, sf):
     """The objects of all items as one JSON text, in parts, and read back whole."""
-    items = D.table(spark, sf, "events").filter("event_type = 'error'").select(
+    items = D.table(spark, sf, "events").select(
         "event_id",
         F.concat(
             F.lit('{"__internal":true,"event_id":'), F.col("event_id").cast("string"), F.lit(","),
@@ -558,7 +559,8 @@ def sanitize_pages(spark, sf):
   SELECT page_id, unnest(regexp_extract_all(html, '</?[a-zA-Z][^>]*>')) AS tag,
          generate_subscripts(regexp_extract_all(html, '</?[a-zA-Z][^>]*>'), 1) AS i FROM pages),
 s AS (SELECT page_id, i, sum(CASE WHEN tag LIKE '</%' THEN -1 WHEN tag LIKE '%/>' THEN 0 ELSE 1 END)
-       OVER (PARTITION BY page_id ORDER BY i) AS run FROM t),
+       OVER (PARTITION BY page_id ORDER BY i) AS run FROM t
+  WHERE NOT regexp_matches(tag, '(?i)^</?(area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr|p|li|dt|dd|tr|td|th|thead|tbody|tfoot|colgroup|option|optgroup|rt|rp)[\\s/>]')),
 d AS (SELECT page_id, run - least(0, min(run) OVER (PARTITION BY page_id ORDER BY i)) AS depth FROM s)
 SELECT page_id, CAST(max(depth) AS INTEGER) AS depth FROM d GROUP BY page_id"""
 )
@@ -579,7 +581,7 @@ def html_guard(spark, sf):
         .when(k == 3, F.concat(F.repeat(F.lit("<div>"), F.lit(101)), "html", F.lit("<table></table>")))
         .otherwise(F.concat("html", F.lit("<table></table>"))).alias("html"),
     )
-    return pages.select("page_id", td.html_error("html").alias("error"))
+    return pages.select("page_id", td.html_error("html", MAX_HTML_BYTES, max_depth=MAX_DEPTH).alias("error"))
 
 
 @query(
@@ -613,7 +615,9 @@ def json_validate(spark, sf):
         .when(k == 5, F.concat(F.repeat(F.lit("["), F.lit(101)), F.repeat(F.lit("]"), F.lit(101))))
         .otherwise(F.concat(F.lit("["), "props", F.lit(","), "props", F.lit("]"))).alias("j"),
     )
-    return docs.select("event_id", td.input_error("j", "json").alias("error"))
+    return docs.select(
+        "event_id", F.coalesce(td.json_safety_error("j", MAX_JSON_BYTES, MAX_DEPTH), td.json_error("j")).alias("error")
+    )
 
 
 @query(
@@ -731,12 +735,12 @@ def replace_under_heading(spark, sf):
   SELECT page_id AS p, '<table><thead><tr><th>segment</th><th>n</th></tr></thead><tbody>' ||
     string_agg('<tr><td>' || c_mktsegment || '</td><td>' || n || '</td></tr>', '' ORDER BY c_mktsegment) || '</tbody></table>' AS t
   FROM (SELECT page_id, c_mktsegment, count(*) AS n FROM cust GROUP BY ALL) GROUP BY page_id)
-SELECT page_id, string_agg(opening || heading || CASE WHEN table_no = n_tables AND page_id % 2 = 0 THEN t ELSE tab END || closing, '' ORDER BY table_no) AS html
+SELECT page_id, string_agg(opening || heading || CASE WHEN table_no = n_tables AND page_id % 10 <> 0 THEN t ELSE tab END || closing, '' ORDER BY table_no) AS html
 FROM sections JOIN fresh ON page_id = p GROUP BY page_id"""
 )
 def replace_from_records(spark, sf):
-    """The last table of every other page replaced by a table built from data."""
-    fresh = D.customers(spark, sf).filter("page_id % 2 = 0").groupBy(
+    """The last table of each page replaced by a table built from data; one page in ten has none and stays."""
+    fresh = D.customers(spark, sf).filter("page_id % 10 <> 0").groupBy(
         "page_id", F.col("c_mktsegment").alias("segment")
     ).agg(F.count(F.lit(1)).alias("n"))
     # at most one row per segment and page
@@ -1003,3 +1007,68 @@ def stream_extract(spark, sf):
     )
     write_stream(records, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.schema(records.schema).parquet(f"{base}/out")
+
+
+# -- whole pages, repeated keys and other payloads that used to be lost ----------------
+
+
+@query("SELECT page_id, i AS row_no, rtrim('x' || i || ' ' || repeat('y', CAST(page_id % 7 AS INTEGER))) AS first FROM pages, range(1, 4) t(i)")
+def many_breaks(spark, sf):
+    """Every page with a table whose cells hold over a hundred line breaks or unclosed items: all rows come back."""
+    filler = F.when(F.col("page_id") % 2 == 0, F.repeat(F.lit("<br>"), F.lit(150))).otherwise(F.repeat(F.lit("<li>"), F.lit(150)))
+    body = F.concat(*[
+        F.concat(F.lit(f"<tr><td>x{i} "), F.repeat(F.lit("y"), (F.col("page_id") % 7).cast("int")), F.lit("</td><td>"), filler, F.lit("</td></tr>"))
+        for i in (1, 2, 3)
+    ])
+    pages = D.table(spark, sf, "pages").select("page_id", F.concat(F.lit("<table><tbody>"), body, F.lit("</tbody></table>"), "html").alias("html"))
+    rows = td.rows(pages, "html", ExtractOptions(selector=TableSelector("first-table")))
+    return rows.select("page_id", "row_no", F.col("cells")[0].alias("first"))
+
+
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(event_id % 9 AS BIGINT) AS m, 'k,m' AS names FROM events""")
+def json_repeated_keys(spark, sf):
+    """A key that an object repeats has its last value, at its first place."""
+    payload = F.concat(
+        F.lit('[{"k":"old","m":'), (F.col("event_id") % 9).cast("string"), F.lit(","), F.substr("props", F.lit(2)), F.lit("]")
+    )
+    events = D.table(spark, sf, "events").select("event_id", payload.alias("payload"))
+    csv = td.convert(events, "json", "csv", "payload")
+    recs = td.each(events.select("event_id", json_records(F.col("payload")).alias("r")), ["event_id"], F.col("r"), "rec")
+    both = recs.join(csv.select("event_id", F.split("output", "\n")[0].alias("head")), "event_id")
+    return both.select(
+        "event_id", F.col("rec")["k"].cast("bigint").alias("k"), F.col("rec")["m"].cast("bigint").alias("m"),
+        F.regexp_replace("head", '"', "").alias("names"),
+    )
+
+
+@query("SELECT page_id, '\u00a9 2020 AT&T \u00e9t\u00e9 <b ' || url AS cell FROM pages")
+def entities_without_semicolon(spark, sf):
+    cell = F.concat(F.lit("&copy 2020 AT&T &eacutet&#233 &ltb "), F.replace("url", F.lit("&"), F.lit("&amp;")))
+    pages = D.table(spark, sf, "pages").select("page_id", F.concat(F.lit("<table><tr><td>"), cell, F.lit("</td></tr></table>")).alias("html"))
+    return td.cells(pages, "html").select("page_id", F.col("value").alias("cell"))
+
+
+@query(
+    """SELECT page_id, html AS kept, CASE WHEN page_id % 3 = 0 THEN '2 replacements for one page' END AS error FROM (
+  SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '<table><tr><td>old</td></tr></table>' ELSE '<p>new ' || page_id || '</p>' END AS html FROM pages)"""
+)
+def replace_repeated_keys(spark, sf):
+    """Two replacements for one page: the page stays, with an error; still one row for each page."""
+    ids = D.table(spark, sf, "pages").select("page_id")
+    pages = ids.withColumn("html", F.lit("<table><tr><td>old</td></tr></table>"))
+    fresh = ids.withColumn("n", F.explode(F.when(F.col("page_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    fresh = fresh.select("page_id", F.concat(F.lit("<p>new "), F.col("page_id").cast("string"), F.lit("</p>")).alias("payload"))
+    out = td.replace_from(pages, fresh, "page_id", "payload")
+    return out.select("page_id", F.col("html").alias("kept"), "error")
+
+
+@query("SELECT count(*) AS n_rows, count(DISTINCT page_id) AS n_pages, CAST(sum(strlen(html)) AS BIGINT) AS bytes FROM pages")
+def wide_group_round_trip(spark, sf):
+    """All pages as escaped cells of a few documents of many megabytes, and every row read back."""
+    pages = D.table(spark, sf, "pages").select("page_id", "html", F.lit(1).alias("g"))
+    docs = td.render_groups(pages, ["g"], ["page_id", "html"], ["page_id"])
+    rows = td.rows(docs, "payload", ExtractOptions(selector=TableSelector("first-table"), sanitize=False))
+    cells = rows.select(F.col("cells")[0].cast("bigint").alias("page_id"), F.col("cells")[1].alias("html"))
+    return cells.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("page_id").alias("n_pages"), F.sum(F.octet_length("html")).cast("bigint").alias("bytes")
+    )
