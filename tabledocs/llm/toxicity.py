@@ -112,7 +112,9 @@ def _sample(docs: DataFrame, labels: DataFrame, options: ToxicityOptions) -> tup
     # at most 2 * per_class rows
     chosen = F.broadcast(cut(parts[0].unionByName(parts[1])))
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(chosen, "doc_id").select("text", "toxic")
-    return cut(texts.limit(4 * options.per_class)), float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)))
+    # an id that repeats must not make the sample larger than stated; a limit leaves one partition, so it is dealt out again
+    texts = texts.limit(2 * options.per_class).repartition(32)
+    return cut(texts), float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)))
 
 
 def _frequent(sample: DataFrame, options: ToxicityOptions) -> np.ndarray:
