@@ -12,6 +12,7 @@ from tabledocs.llm.chat import format_chats, read_loss, read_turns
 from tabledocs.llm.decontamination import contamination
 from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
+from tabledocs.llm.oracle import CHAT, QUALITY, SECRETS
 from tabledocs.llm.packing import packed
 from tabledocs.llm.quality import quality
 from tabledocs.llm.secrets import BASE, secrets
@@ -109,4 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_copies": op10_near_copies,
 }
 
-ORACLE: dict[str, str] = {}
+#: the others need a tokenizer, a model, a search for bins, or components; they are tested against brute force
+ORACLE: dict[str, str] = {
+    "op6_chat_format": CHAT,
+    "op8_quality_rules": QUALITY,
+    "op9_secret_scan": SECRETS,
+}
