@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from tabledocs.functions.markup import ANY_TAG, ATTRS, RAW, balanced_levels, drop_noncharacters
-from tabledocs.functions.text import decode_entities, let, running_count, trim_text
+from tabledocs.functions.text import ATTRIBUTE, decode_entities, let, running_count, trim_text
 
 _BEGIN, _ATTR, _STOP = "\ufdd0", "\ufdd1", "\ufdd2"
 
@@ -45,7 +45,7 @@ class Selector:
 
 
 def _attribute_test(name: str, op: str | None, value: str) -> str:
-    head = f"(?=[^{_STOP}]*?\\s(?i:{re.escape(name)})"
+    head = f"(?=[^{_ATTR}{_STOP}]*{_ATTR}(?:{ATTRIBUTE})*?[\\s/]+(?i:{re.escape(name)})"
     if op is None:
         return head + "(?:[\\s=/>]))"
     v = re.escape(value)

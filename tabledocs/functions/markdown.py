@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabledocs.functions.text import let, running_count, trim_text
+from tabledocs.functions.text import ATTRIBUTE, let, running_count, trim_text
 
 INLINE_TAGS = (
     "strong|b|em|i|code|a|br|p|ul|ol|li|h1|h2|h3|h4|h5|h6|blockquote|hr|del|s|strike|sub|sup|img"
@@ -49,7 +49,7 @@ SINGLES = {"br": "\n", "hr": "\n---\n"}
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an opening tag; empty when absent."""
-    pattern = f"(?is)\\s{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s>\"']+))"
+    pattern = f"(?is)^<[a-z][^\\s/>]*+(?:{ATTRIBUTE})*?[\\s/]+{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s>\"']+))"
     return F.concat(*[F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)])
 
 

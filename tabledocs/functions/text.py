@@ -71,6 +71,10 @@ def _named_entities() -> Column:
     return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
+# One whole attribute with the space before it; what comes after it is not inside a value.
+ATTRIBUTE = "[\\s/]++[^\\s=/>\"']++(?:\\s*+=\\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\\s>\"']++))?+"
+
+
 def _short_names() -> str:
     """Names that also count without a semicolon, the longest first, as alternatives of a pattern."""
     return "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tabledocs.functions.markdown import attribute
 from tabledocs.functions.markup import ANY_TAG, ATTRS, balanced_levels, lossless_units
-from tabledocs.functions.text import as_column, decode_entities, let, running_count
+from tabledocs.functions.text import ATTRIBUTE, as_column, decode_entities, let, running_count
 from tabledocs.operators.quality import sanitize_html
 from tabledocs.plans.options import StyleOptions
 
@@ -101,11 +101,16 @@ def _quoted(text: str) -> str:
 
 def _set_attribute(tag: Column, name: str, value: Column) -> Column:
     """Set an attribute of an opening tag, replacing the one it has."""
-    has = f"(?is)\\s{name}\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"
+    value_of = "(?:\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"
+    has = f"(?is)^(<[a-z][^\\s/>]*+(?:{ATTRIBUTE})*?)([\\s/]+{name}\\s*=\\s*{value_of})"
     written = F.concat(F.lit(f' {name}="'), value, F.lit('"'))
+    parts = F.struct(F.regexp_extract(tag, has, 1).alias("before"), F.regexp_extract(tag, has, 2).alias("old"))
     return let(
-        F.regexp_extract(tag, has, 0),
-        lambda old: F.when(old != "", F.replace(tag, old, written)).otherwise(
+        parts,
+        lambda p: F.when(
+            p["old"] != "",
+            F.concat(p["before"], written, F.substr(tag, F.length(p["before"]) + F.length(p["old"]) + F.lit(1))),
+        ).otherwise(
             F.concat(F.regexp_replace(tag, "\\s*/?>\\z", ""), written, F.regexp_extract(tag, "\\s*/?>\\z", 0))
         ),
     )

@@ -93,3 +93,18 @@ def test_heading_selector_gives_single_level_paths(pages):
 def test_option_checks(options):
     with pytest.raises(OptionError):
         TableSelector(**options)
+
+
+def test_attributes_are_read_whole(spark):
+    """What looks like an attribute inside a quoted value is none."""
+    page = '<div title="see id=main now"><table><tr><td>no</td></tr></table></div><div data-x id="main"><table><tr><td>yes</td></tr></table></div>'
+    df = spark.createDataFrame([(1, page)], "id int, html string")
+    chosen = td.rows(df, "html", ExtractOptions(selector=TableSelector("custom", table_selector="#main table")))
+    assert [r.cells for r in chosen.collect()] == [["yes"]]
+
+
+def test_styles_merge_into_the_attribute_itself(spark):
+    page = "<table title='a style=\"x:1\"' style=\"color: red\"><tr><td>a</td></tr></table>"
+    df = spark.createDataFrame([(1, page)], "id int, html string")
+    out = td.style_tables(df, td.StyleOptions(table_width="full")).head().html
+    assert "title='a style=\"x:1\"'" in out and 'style="color: red; width: 100%;"' in out
