@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabledocs.llm.chat import format_chats, read_loss, read_turns
 from tabledocs.llm.decontamination import contamination
+from tabledocs.llm.licenses import license_notices
 from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
 from tabledocs.llm.oracle import CHAT, QUALITY, SECRETS
@@ -34,6 +35,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return license_notices(_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     return token_counts(_table(spark, sf_dir, "documents"), TokenOptions(public_tokenizers.path("word_bpe_49k.json")))
@@ -101,6 +107,7 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_main_text": op5_main_text,
     "op6_chat_format": op6_chat_format,
