@@ -21,12 +21,14 @@ from tabledocs.llm.trigrams import trigram_query
 
 @dataclass(frozen=True)
 class Rule:
-    """kind: name of its spans; pattern: the expression; group, least: this group of a match must have so many characters."""
+    """kind: name of its spans; pattern: the expression; group, least: this group of a match must have so many characters;
+    first: masked before the other rules, whose masks could hide where its matches begin or go on."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    first: bool = False
 
 
 #: the three base kinds, in their order
@@ -36,6 +38,14 @@ BASE = (
     # runs are maximal, so a run of 32 or more is found as a whole
     Rule("hex", r"[0-9a-f]{32,}"),
 )
+#: a block of a private key: its first line, then all up to its last line, which may hold a few single dashes (headers do), or,
+#: where that is missing, headers and the base64 lines that follow. What all engines read alike: no looking ahead, no possessive repeats
+_KEY = r"[A-Z0-9\x20]{0,20}PRIVATE\x20KEY(?:\x20BLOCK)?-----"
+_TO_END = rf"(?:[^-]+-{{1,4}}){{0,64}}[^-]*-----END\x20{_KEY}"
+_HEADERS = r"(?:[\r\n]+[A-Z][A-Za-z-]{2,20}:\x20[^\n]*){0,4}"
+# loops over single characters only, which need no stack; after lines comes a line that is prose, of which nothing is taken
+_LINES = r"""[\x20\t\r\n\\]*[A-Za-z0-9+/=]{20}(?:[A-Za-z0-9+/=\r\n\\]*(?:[\r\n"']|\\n|$)|[A-Za-z0-9+/=]*(?:\x20+[A-Za-z0-9+/=]{20,}){0,40})"""
+_KEY_BLOCK = rf"-----BEGIN\x20{_KEY}(?:{_TO_END}|{_HEADERS}{_LINES})?"
 #: further kinds: public formats of credentials
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
@@ -43,7 +53,7 @@ MORE = (
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[rs]k_live_[0-9A-Za-z]{24,}"),
     Rule("webtoken", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("keyblock", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("keyblock", _KEY_BLOCK, first=True),
 )
 RULES = BASE + MORE
 MASK = "[removed]"
@@ -142,9 +152,9 @@ def _masked(text: Column, matches: Column, rule: Rule) -> Column:
 
 
 def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of `docs`, with every secret in `text` replaced by a mask, rule after rule; other rows and columns stay as they are, null texts too."""
+    """The rows of `docs`, with every secret in `text` replaced by a mask, rule after rule, those that are `first` before the others; other rows and columns stay as they are, null texts too."""
     work = _flagged(docs, rules, docs.columns).withColumn("clean", F.col("text"))
-    for k, rule in enumerate(rules):
+    for k, rule in sorted(enumerate(rules), key=lambda x: not x[1].first):
         work = work.withColumn("found", _matches(F.col("clean"), k, rule))
         work = work.withColumn("clean", F.when(F.size("found") > 0, _masked(F.col("clean"), F.col("found"), rule)).otherwise(F.col("clean")))
     columns = [F.col(f"row.`{c}`").alias(c) if c != "text" else F.when(F.col("row.text").isNotNull(), F.col("clean")).alias("text") for c in docs.columns]
