@@ -5,14 +5,16 @@ Every stage takes (spark, docs, sf_dir); all but the last return the columns of
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabledocs.llm.decontamination import decontaminated
 from tabledocs.llm.near_copies import without_near_copies
-from tabledocs.llm.packing import packed
+from tabledocs.llm.packing import packed_tokens
 from tabledocs.llm.quality import cleaned
 from tabledocs.llm.secrets import without_secrets
 from tabledocs.llm.shared import cut
+from tabledocs.llm.token_counts import TokenOptions
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, each with its place in a training sequence."""
-    return packed(docs)
+    return packed_tokens(docs, TokenOptions(public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [

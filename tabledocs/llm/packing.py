@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabledocs.llm.shared import cut, text_of
+from tabledocs.llm.token_counts import TokenOptions, token_counts
 
 
 @dataclass(frozen=True)
@@ -119,3 +120,8 @@ def packed(docs: DataFrame, options: PackingOptions = PackingOptions(), length:
         return part
 
     return rows.groupBy("shard").applyInPandas(run, schema)
+
+
+def packed_tokens(docs: DataFrame, tokens: TokenOptions, options: PackingOptions = PackingOptions()) -> DataFrame:
+    """`packed` by the tokens of each text and one mark of the end."""
+    return packed(token_counts(docs, tokens), options, F.col("n_tokens") + 1)

@@ -14,7 +14,7 @@ from tabledocs.llm.licenses import license_notices
 from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
 from tabledocs.llm.oracle import CHAT, QUALITY, SECRETS
-from tabledocs.llm.packing import packed
+from tabledocs.llm.packing import packed_tokens
 from tabledocs.llm.quality import quality
 from tabledocs.llm.secrets import BASE, secrets
 from tabledocs.llm.token_counts import TokenOptions, token_counts
@@ -71,7 +71,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training sequences of every document."""
-    return packed(_table(spark, sf_dir, "documents"))
+    return packed_tokens(_table(spark, sf_dir, "documents"), TokenOptions(public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

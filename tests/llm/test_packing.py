@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabledocs.llm.packing import PackingOptions, best_length, pack, packed
+from tabledocs.llm.packing import PackingOptions, best_length, pack, packed, packed_tokens
+from tabledocs.llm.queries import op7_best_fit_packing
+from tabledocs.llm.token_counts import TokenOptions, WordCounter
 
 
 def test_bins():
@@ -44,3 +47,18 @@ def test_rows(documents):
     assert sorted(got[got["doc_id"] == 401]["start"]) == [0, 8192, 16384]
     assert packed(documents()).count() == 0
     assert packed(documents((1, "a")), length=F.lit(None).cast("int")).collect()[0]["sequence"] is None
+
+
+def test_lengths_are_tokens(spark, documents):
+    """No sequence of the query holds more tokens than its length, nor is a long text without white space one piece."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counter = WordCounter(path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").toPandas()
+    tokens = {d: counter.count(t) + 1 for d, t in zip(docs["doc_id"], docs["text"], strict=True)}
+    got = op7_best_fit_packing(spark, "/root/testdata/sf0.001").toPandas()
+    assert got.groupby("doc_id")["n_tokens"].sum().to_dict() == tokens
+    held = got.groupby("sequence").agg(n=("n_tokens", "sum"), length=("sequence_length", "first"))
+    assert (held["n"] <= held["length"]).all()
+    long = "x1" * 20_000
+    pieces = packed_tokens(documents((1, long)), TokenOptions(path)).toPandas()
+    assert pieces["n_tokens"].sum() == counter.count(long) + 1 > 8192 and pieces["n_tokens"].max() == 8192
