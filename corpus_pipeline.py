@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tabledocs.llm.decontamination import decontaminated
-from tabledocs.llm.near_copies import without_near_copies
+from tabledocs.llm.near_copies import NearCopyOptions, without_near_copies
 from tabledocs.llm.packing import packed_tokens
 from tabledocs.llm.quality import cleaned
 from tabledocs.llm.secrets import without_secrets
@@ -17,14 +17,18 @@ from tabledocs.llm.shared import cut
 from tabledocs.llm.token_counts import TokenOptions
 
 
+#: The stage links from 0.8 on; a pair at 0.8 shares none of the 38 bands of 5 with a probability of 3e-7, and the longer signature errs there by five standard deviations for as few.
+NEAR_COPIES = NearCopyOptions(percent=80, bands=38, slack=0.065)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that fail."""
     return cleaned(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return without_near_copies(docs)
+    """One document of each group of near copies, by a similarity of 0.8 or more."""
+    return without_near_copies(docs, NEAR_COPIES)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

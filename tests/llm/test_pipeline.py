@@ -49,3 +49,16 @@ def test_stages(spark, tmp_path):
 def test_queries_run(spark):
     for name in ("op1_decontamination", "op2_toxicity", "op5_main_text", "op7_best_fit_packing", "op9_secret_scan"):
         assert QUERIES[name](spark, SMALL).count() > 0, name
+
+
+def test_near_copies_from_80_percent(spark):
+    """A pair at a similarity of 0.82 is one document after the stage; a pair at 0.78 stays."""
+
+    def pair(name, shared, own):
+        words = [f"{name}{k}" for k in range(shared + 4)]
+        return " ".join(words + [f"{name}x{k}" for k in range(own)]), " ".join(words + [f"{name}y{k}" for k in range(own)])
+
+    # shared shingles, and those that each text has besides: 820 of 1000, 780 of 1000
+    (a, b), (c, d) = pair("a", 820, 90), pair("c", 780, 110)
+    docs = spark.createDataFrame(list(enumerate([a, b, c, d])), "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()) == [0, 2, 3]
