@@ -3,7 +3,9 @@
 Words that occur once in the text and once in the template are anchors. The longest
 run of anchors that keeps their order, by increasing subsequence, is aligned, and the gaps between are aligned
 in the same way; where a gap has no anchor, its equal ends are aligned. Coverage is the share of
-the template's words that are aligned. A text is aligned as a whole and line by line, so that a notice that repeats is found too.
+the template's words that are aligned. A text is aligned as a whole, line by line, and around every occurrence of the
+template's rarest words, of which a passing stretch must hold one; so a notice that repeats, or that is wrapped over lines, is found too.
+Where notices of several licenses overlap, the one with the most aligned words stands.
 """
 
 from __future__ import annotations
@@ -30,6 +32,16 @@ TEMPLATES = (
     ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("CC-BY", "This work is licensed under a Creative Commons Attribution License"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("GPL", "Licensed under the GNU General Public License, version"),
+    ("LGPL", "Licensed under the GNU Lesser General Public License, version"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    ("AGPL", "Licensed under the GNU Affero General Public License, version"),
+    ("CC-BY", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-ND", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-NC", "Licensed under CC BY-NC 4.0"),
+    ("CC-BY-NC-SA", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-ND", "Licensed under CC BY-NC-ND 4.0"),
 )
 
 
@@ -91,18 +103,63 @@ def aligned(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 def notices(text: str | None, options: LicenseOptions, templates: list[tuple[str, list[str]]]) -> list[tuple[str, int, int, int]]:
     """(license, template, aligned words, template's words) of templates with enough coverage, the best stretch of each."""
     whole = words_of(text or "")
-    known, out, parts = set(whole), [], None
+    known, found, parts = Counter(whole), [], None
     for k, (name, template) in enumerate(templates):
         least = options.percent * len(template)
         # no more words can be aligned than occur at all
         if not template or 100 * sum(w in known for w in template) < least:
             continue
         if parts is None:
-            parts = [whole, *map(words_of, (text or "").split("\n"))]
-        best = max(len(aligned(p, template)) for p in parts)
-        if 100 * best >= least:
-            out.append((name, k, best, len(template)))
-    return out
+            parts, start = [(0, whole)], 0
+            for line in map(words_of, (text or "").split("\n")):
+                parts.append((start, line))
+                start += len(line)
+            places = {}
+            for place, w in enumerate(whole):
+                places.setdefault(w, []).append(place)
+        spans = {}
+        for start, part in [*parts, *_windows(whole, places, template, least)]:
+            if 100 * min(len(part), len(template)) < least:
+                continue
+            pairs = aligned(part, template)
+            if 100 * len(pairs) >= least:
+                span = start + pairs[0][1], start + pairs[-1][1]
+                spans[span] = max(spans.get(span, 0), len(pairs))
+        found += [(name, k, n, len(template), a, z) for (a, z), n in spans.items()]
+    return _standing(found)
+
+
+def _windows(whole: list[str], places: dict[str, list[int]], template: list[str], least: int) -> Iterator[tuple[int, list[str]]]:
+    """(start, words) of stretches around each occurrence of words of which one is aligned in every stretch that passes."""
+    m = len(template)
+    spare = m - -(-least // 100) + 1
+    seeds = sorted(range(m), key=lambda k: len(places.get(template[k], ())))[:spare]
+    seen = set()
+    for k in seeds:
+        for at in places.get(template[k], ()):
+            for slack in (0, m // 8 + 1, m // 4 + 2):
+                window = max(0, at - k - slack), min(len(whole), at - k + m + slack)
+                if window not in seen:
+                    seen.add(window)
+                    yield window[0], whole[window[0] : window[1]]
+
+
+def _standing(found: list[tuple[str, int, int, int, int, int]]) -> list[tuple[str, int, int, int]]:
+    """The best stretch of each template, of those that no better notice of another license overlaps. found: (license, template, aligned, words, first, last)."""
+    best: dict[int, tuple[str, int, int, int]] = {}
+    ranked = sorted(found, key=lambda x: (-x[2], x[3], x[1], x[5] - x[4]))
+    # the stretches of each license that stand, as sorted starts and ends that do not overlap
+    held: dict[str, tuple[list[int], list[int]]] = {}
+    for name, k, n, size, first, last in ranked:
+        if any(name != other and (i := bisect_left(ends, first)) < len(ends) and starts[i] <= last for other, (starts, ends) in held.items()):
+            continue
+        best.setdefault(k, (name, k, n, size))
+        starts, ends = held.setdefault(name, ([], []))
+        i = bisect_left(ends, first)
+        if i == len(ends) or starts[i] > last:
+            starts.insert(i, first)
+            ends.insert(i, last)
+    return [best[k] for k in sorted(best)]
 
 
 def license_notices(docs: DataFrame, options: LicenseOptions = LicenseOptions()) -> DataFrame:

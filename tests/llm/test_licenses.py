@@ -1,4 +1,4 @@
-from tabledocs.llm.licenses import LicenseOptions, aligned, license_notices
+from tabledocs.llm.licenses import TEMPLATES, LicenseOptions, aligned, license_notices, notices, words_of
 
 
 def test_alignment():
@@ -17,3 +17,21 @@ def test_rows(documents):
     assert sorted(got, key=str) == sorted([(1, "MIT", 5), (1, "MIT", 5), (2, "MIT", 5), (None, "MIT", 5)], key=str)
     assert license_notices(documents()).count() == 0
     assert license_notices(documents(*rows), LicenseOptions(templates=())).count() == 0
+
+
+def test_given_lines_and_wrapped_notices():
+    templates = [(name, words_of(text)) for name, text in TEMPLATES]
+
+    def found(text):
+        return sorted({name for name, *_ in notices(text, LicenseOptions(), templates)})
+
+    gpl, cc = "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0."
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    assert [found(f"some text\n{x}\nmore") for x in (gpl, cc, apache, mit)] == [["GPL"], ["CC-BY-NC"], ["Apache-2.0"], ["MIT"]]
+    assert found(gpl.replace("General", "Lesser General")) == ["LGPL"] and found(gpl.replace("General", "Affero General")) == ["AGPL"]
+    assert [found(cc.replace("-NC", x)) for x in ("", "-SA", "-NC-ND")] == [["CC-BY"], ["CC-BY-SA"], ["CC-BY-NC-ND"]]
+    long = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and\nassociated documentation files"
+    assert found(f"{long}\nwords between\n{long}") == ["MIT"]
+    wrapped = "Released under\nthe MIT License."
+    assert found(f"{wrapped}\n{wrapped}") == ["MIT"] and found(f"{wrapped}\n{gpl}\n{wrapped}\n{cc}") == ["CC-BY-NC", "GPL", "MIT"]
+    assert found("the license of this work is public and general") == []
