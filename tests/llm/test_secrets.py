@@ -38,7 +38,7 @@ def test_queries_hold_for_every_match():
             if re.search(rule.pattern, text, re.A):
                 assert any(all(t in text.lower() for t in clause) for clause in trigram_query(rule.pattern))
     assert trigram_query(BASE[2].pattern) == [frozenset()]
-    assert trigram_query("abc?d") == [frozenset({"abd"}), frozenset({"abc", "bcd"})] or len(trigram_query("abc?d")) == 2
+    assert set(trigram_query("abc?d")) == {frozenset({"abd"}), frozenset({"abc", "bcd"})}
     assert trigram_query("(?:foo|bar)+x") and all(all(trigram_query(r.pattern)) for r in MORE)
 
 
