@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tabledocs.llm.chat import format_chats, read_loss, read_turns
 from tabledocs.llm.decontamination import contamination
+from tabledocs.llm.divergence import source_divergence
 from tabledocs.llm.licenses import license_notices
 from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
-from tabledocs.llm.oracle import CHAT, QUALITY, SECRETS
+from tabledocs.llm.oracle import CHAT, DIVERGENCE, QUALITY, SECRETS
 from tabledocs.llm.packing import packed_tokens
 from tabledocs.llm.quality import quality
 from tabledocs.llm.secrets import BASE, secrets
@@ -104,6 +105,11 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source differs from the others of its language, and its most typical terms."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_copies": op10_near_copies,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 #: the others need a tokenizer, a model, a search for bins, or components; they are tested against brute force
@@ -122,4 +129,5 @@ ORACLE: dict[str, str] = {
     "op6_chat_format": CHAT,
     "op8_quality_rules": QUALITY,
     "op9_secret_scan": SECRETS,
+    "op12_source_divergence": DIVERGENCE,
 }
