@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tabledocs.llm.chat import format_chats, read_loss, read_turns
 from tabledocs.llm.decontamination import contamination
 from tabledocs.llm.divergence import source_divergence
+from tabledocs.llm.embedding_copies import near_vectors
+from tabledocs.llm.hard_negatives import hard_negatives, scored
 from tabledocs.llm.licenses import license_notices
 from tabledocs.llm.main_text import main_texts
 from tabledocs.llm.near_copies import near_copies
-from tabledocs.llm.oracle import CHAT, DIVERGENCE, QUALITY, SECRETS
+from tabledocs.llm.oracle import CHAT, DIVERGENCE, HARD_NEGATIVES, QUALITY, SECRETS
 from tabledocs.llm.packing import packed_tokens
 from tabledocs.llm.quality import quality
 from tabledocs.llm.secrets import BASE, secrets
@@ -105,11 +107,23 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every hundredth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = _table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), scored(F.col("embedding")).alias("vector"))
+    return hard_negatives(points, F.col("vec_id") % 100 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each source differs from the others of its language, and its most typical terms."""
     return source_divergence(_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-duplicate vectors."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -121,7 +135,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_near_copies": op10_near_copies,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_source_divergence": op12_source_divergence,
+    "op13_embedding_copies": op13_embedding_copies,
 }
 
 #: the others need a tokenizer, a model, a search for bins, or components; they are tested against brute force
@@ -129,5 +145,6 @@ ORACLE: dict[str, str] = {
     "op6_chat_format": CHAT,
     "op8_quality_rules": QUALITY,
     "op9_secret_scan": SECRETS,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op12_source_divergence": DIVERGENCE,
 }

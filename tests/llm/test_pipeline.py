@@ -11,7 +11,7 @@ def test_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and set(QUERIES) <= names and set(ORACLE) <= set(QUERIES)
-    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12]
+    assert sorted(int(x[2:].split("_")[0]) for x in QUERIES) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]
 
 
 def test_stages(spark, tmp_path):
