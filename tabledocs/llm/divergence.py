@@ -14,11 +14,10 @@ from __future__ import annotations
 
 import heapq
 import uuid
-import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import accumulate, groupby, pairwise
 from operator import itemgetter
 
 import numpy as np
@@ -27,150 +26,199 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabledocs.llm import textscan
 from tabledocs.llm.shared import cut
 
 #: letters A-Z as a-z, other letters and all of non-ASCII as they are, the rest as space
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: rough cost in memory of a posting besides its term
-_POSTING_BYTES = 200
+#: rough cost in memory of a term of a language besides its bytes, and of a term of a group
+_TERM_COST, _POSTING_COST = 170, 110
 
 
 @dataclass(frozen=True)
 class DivergenceOptions:
     """least_documents: of a language, that a kept term occurs in; top: terms listed per group; memory: bytes of postings
-    that a task holds before it writes a run; shard: postings of a hash shard, on average; chunk: postings in a row of a run;
+    that a task holds before it writes a run; shard: postings of a hash shard, on average; chunk: terms in a row of a run;
     pairs: of sources whose corrections a task holds before it passes them on."""
 
     least_documents: int = 10
     top: int = 10
-    memory: int = 64 << 20
+    memory: int = 128 << 20
     shard: int = 200_000
     chunk: int = 1 << 14
     pairs: int = 1 << 20
 
 
-_RUN = "run string, n bigint, hash array<bigint>, lang array<binary>, term array<binary>, source array<binary>, count array<bigint>, docs array<bigint>"
-_LISTS = ("hash", "lang", "term", "source", "count", "docs")
-
-
-def _run_batch(run: str, n: int, columns: list) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    lists = [pa.array([list(c)], pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array([run]), pa.array([n], pa.int64()), *lists], names=["run", "n", *_LISTS])
+# a block of postings: terms in order of their hashes, the documents that each occurs in, how many sources it has, then
+# the sources (as places in `names`) and counts of all terms, one after another
+_BLOCK = "lang binary, run string, hash array<bigint>, term array<binary>, docs array<bigint>, n array<int>, source array<int>, count array<bigint>, names array<binary>"
+_BLOCK_TYPES = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+_BLOCK_NAMES = ("lang", "run", "hash", "term", "docs", "n", "source", "count", "names")
+
+
+def _single(values: pa.Array | np.ndarray, kind: pa.DataType) -> pa.Array:
+    """One row that holds all values."""
+    values = values if isinstance(values, pa.Array) else pa.array(values, kind)
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _block(lang: bytes, run: str, lists: list) -> pa.RecordBatch:
+    rows = [_single(x, k) for x, k in zip(lists, _BLOCK_TYPES, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([lang], pa.binary()), pa.array([run]), *rows], names=list(_BLOCK_NAMES))
+
+
+def _run_blocks(lang: bytes, run: str, docs: Counter, counts: dict[bytes, Counter], chunk: int) -> Iterator[pa.RecordBatch]:
+    """The postings of one language, in order of term hash and term."""
+    terms = list(docs)
+    joined = np.frombuffer(b" ".join(terms), np.uint8)
+    # no term holds a space, and none but the group's own mark is empty, which is the first
+    hashed = textscan.Words(joined, np.array([0, len(joined)])).hashes()
+    value = np.concatenate([np.zeros(1, np.uint64), hashed]).view(np.int64)
+    order = np.argsort(value, kind="stable")
+    if len(terms) > 1 and (np.diff(value[order]) == 0).any():
+        order = np.array(sorted(range(len(terms)), key=lambda k: (value[k], terms[k])))
+    rank = np.empty(len(terms), np.int64)
+    rank[order] = np.arange(len(terms))
+    place = dict(zip(terms, rank.tolist(), strict=True))
+    names = sorted(counts)
+    sizes = [len(counts[s]) for s in names]
+    at = np.fromiter((place[t] for s in names for t in counts[s]), np.int64, sum(sizes))
+    number = np.fromiter((c for s in names for c in counts[s].values()), np.int64, sum(sizes))
+    source = np.repeat(np.arange(len(names), dtype=np.int32), sizes)
+    by_term = np.argsort(at, kind="stable")
+    source, number = source[by_term], number[by_term]
+    n = np.bincount(at, minlength=len(terms)).astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(n)])
+    with_term = np.fromiter(docs.values(), np.int64, len(terms))[order]
+    bytes_of = pa.array(terms, pa.binary()).take(pa.array(order))
+    for a in range(0, len(terms), chunk):
+        z = min(len(terms), a + chunk)
+        used, own = np.unique(source[ends[a] : ends[z]], return_inverse=True)
+        yield _block(lang, run, [
+            value[order[a:z]], bytes_of.slice(a, z - a), with_term[a:z], n[a:z], own.astype(np.int32), number[ends[a] : ends[z]], pa.array([names[k] for k in used], pa.binary()),
+        ])
 
 
 def runs(docs: DataFrame, options: DivergenceOptions = DivergenceOptions()) -> DataFrame:
-    """Term-sorted runs of postings (lang, term, source, occurrences, documents), in rows of bounded size.
+    """Term-sorted runs of the texts' postings, in blocks of bounded size.
 
-    A posting with an empty term stands for a group that occurs; no term is empty.
+    A posting with an empty term stands for a group that occurs; no other term is empty.
     """
 
-    def run_rows(index: dict, number: int) -> Iterator[pa.RecordBatch]:
-        postings = []
-        for (lang, source), (counts, docs_with) in index.items():
-            start = zlib.crc32(lang)
-            postings += [(zlib.crc32(t, start), lang, t, source, n, docs_with[t]) for t, n in counts.items()]
-            postings.append((zlib.crc32(b"", start), lang, b"", source, 0, 0))
-        postings.sort(key=itemgetter(0, 1, 2, 3))
-        name = f"{uuid.uuid4().hex}-{number}"
-        for k in range(0, len(postings), options.chunk):
-            part = postings[k : k + options.chunk]
-            yield _run_batch(name, len(part), list(zip(*part, strict=True)))
-
     def index_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: dict = defaultdict(lambda: (Counter(), Counter()))
-        held = number = 0
+        # per language: documents of each term, and occurrences of each term per source
+        index: dict[bytes, tuple[Counter, dict[bytes, Counter]]] = {}
+        held = 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            run = uuid.uuid4().hex
+            for lang, (with_term, counts) in index.items():
+                yield from _run_blocks(lang, run, with_term, counts, options.chunk)
+
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
                 lang, source, text = (value.as_py() or b"" for value in row)
-                key = (lang, source)
-                if key not in index:
-                    held += _POSTING_BYTES + len(key[0]) + len(key[1])
-                counts, docs_with = index[key]
+                with_term, counts = index.setdefault(lang, (Counter({b"": 0}), {}))
+                if source not in counts:
+                    counts[source] = Counter({b"": 0})
+                    held += _TERM_COST + len(lang) + len(source)
                 terms = text.translate(_TERM_BYTES).split()
                 own = set(terms)
-                new = own.difference(counts)
-                held += len(new) * _POSTING_BYTES + sum(map(len, new))
-                counts.update(terms)
-                docs_with.update(own)
+                new = [t for t in own if t not in with_term]
+                held += len(new) * _TERM_COST + sum(map(len, new)) - len(counts[source]) * _POSTING_COST
+                with_term.update(own)
+                counts[source].update(terms)
+                held += len(counts[source]) * _POSTING_COST
                 if held > options.memory:
-                    yield from run_rows(index, number)
+                    yield from written()
                     index.clear()
-                    held, number = 0, number + 1
-        if index:
-            yield from run_rows(index, number)
+                    held = 0
+        yield from written()
 
     # as binary: a text that is no valid UTF-8 is read as its bytes are
     texts = docs.select(*[F.col(f"`{c}`").cast("string").cast("binary").alias(c) for c in ("lang", "source", "text")])
-    return texts.mapInArrow(index_texts, _RUN)
+    return texts.mapInArrow(index_texts, _BLOCK)
+
+
+def _lists(batch: pa.RecordBatch | pa.Table, row: int) -> list[pa.Array]:
+    return [batch.column(name)[row].values for name in _BLOCK_NAMES[2:]]
 
 
 def _slices(stored: DataFrame, shards: int) -> DataFrame:
-    """The rows of the runs cut at the borders of hash shards."""
+    """The blocks cut at the borders of hash shards."""
 
-    def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                lists = [batch.column(name)[row].values for name in _LISTS]
-                shard = lists[0].to_numpy() * shards >> 32
-                starts = np.flatnonzero(np.diff(shard, prepend=-1))
-                lengths = pa.array(np.append(starts, len(shard)), pa.int32())
-                name = pa.array([batch.column("run")[row].as_py()] * len(starts))
-                parts = [pa.ListArray.from_arrays(lengths, x) for x in lists]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[starts]), name, *parts], names=["shard", "run", *_LISTS])
-
-    return stored.mapInArrow(cut_rows, "shard bigint, " + _RUN.replace("n bigint, ", ""))
+                lang, run = batch.column("lang")[row].as_py(), batch.column("run")[row].as_py()
+                hashed, term, docs, n, source, count, names = _lists(batch, row)
+                # the high 31 bits, in the order of the signed hash
+                shard = ((hashed.to_numpy() >> 33) + (1 << 30)) * shards >> 31
+                starts = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+                ends = np.concatenate([[0], np.cumsum(n.to_numpy())])
+                codes = source.to_numpy()
+                for a, z in zip(starts, [*starts[1:], len(shard)], strict=True):
+                    low, high = int(ends[a]), int(ends[z])
+                    used, own = np.unique(codes[low:high], return_inverse=True)
+                    lists = [hashed.slice(a, z - a), term.slice(a, z - a), docs.slice(a, z - a), n.slice(a, z - a), own.astype(np.int32), count.slice(low, high - low), names.take(pa.array(used))]
+                    block = _block(lang, run, lists)
+                    yield pa.RecordBatch.from_arrays([pa.array([shard[a]], pa.int64()), *block.columns], names=["shard", *_BLOCK_NAMES])
+
+    return stored.mapInArrow(cut_blocks, "shard bigint, " + _BLOCK)
 
 
 def frequencies(stored: DataFrame, options: DivergenceOptions = DivergenceOptions()) -> DataFrame:
-    """(lang, term, total, documents, sources, counts) of each term, merged from the runs shard by shard."""
-    size = stored.agg(F.sum("n")).head()[0] or 0
+    """(lang, term, total, sources, counts) of the kept terms, merged from the runs shard by shard; the empty term has the groups."""
+    size = stored.agg(F.sum(F.size("source").cast("bigint"))).head()[0] or 0
     shards = min(1 << 31, max(1, -(-size // options.shard)))
 
     def postings(table: pa.Table) -> Iterator[tuple]:
-        """The postings of one run in one shard, in order."""
+        """The terms of one run in one shard, in order."""
         for row in range(table.num_rows):
-            yield from zip(*(table.column(name)[row].as_py() for name in _LISTS), strict=True)
+            hashed, term, docs, n, source, count, names = (x.to_pylist() for x in _lists(table, row))
+            source = [names[k] for k in source]
+            ends = [0, *accumulate(n)]
+            yield from zip(hashed, term, docs, (source[a:z] for a, z in pairwise(ends)), (count[a:z] for a, z in pairwise(ends)), strict=True)
 
-    def merged(parts: list[pa.Table]) -> pa.RecordBatch:
-        """The frequencies of one shard, whose rows are sorted by run and, in a run, by their first postings."""
-        table = pa.concat_tables(parts)
+    def merged(table: pa.Table) -> pa.RecordBatch:
+        """The frequencies of one language in one shard, whose rows are sorted by run and, in a run, by their first terms."""
         run = table.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
         starts = [*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), table.num_rows]
-        slices = [postings(table.slice(a, z - a)) for a, z in zip(starts, starts[1:])]
-        out: tuple[list, ...] = ([], [], [], [], [], [])
-        for (_, lang, term), same in groupby(heapq.merge(*slices), itemgetter(0, 1, 2)):
+        slices = [postings(table.slice(a, z - a)) for a, z in pairwise(starts)]
+        out: tuple[list, ...] = ([], [], [], [])
+        for (_, term), same in groupby(heapq.merge(*slices), itemgetter(0, 1)):
+            same = list(same)
+            if term and sum(p[2] for p in same) < options.least_documents:
+                continue
             sources: dict = {}
-            documents = 0
-            for _, _, _, source, count, docs_with in same:
-                sources[source] = sources.get(source, 0) + count
-                documents += docs_with
-            if not term or documents >= options.least_documents:
-                for column, value in zip(out, (lang, term, sum(sources.values()), documents, list(sources), list(sources.values())), strict=True):
-                    column.append(value)
-        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["lang", "term", "total", "documents", "sources", "counts"])
+            for _, _, _, names, counts in same:
+                for name, count in zip(names, counts, strict=True):
+                    sources[name] = sources.get(name, 0) + count
+            for column, value in zip(out, (term, sum(sources.values()), list(sources), list(sources.values())), strict=True):
+                column.append(value)
+        kinds = (pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+        lang = pa.array([table.column("lang")[0].as_py()] * len(out[0]), pa.binary())
+        return pa.RecordBatch.from_arrays([lang, *columns], names=["lang", "term", "total", "sources", "counts"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        shard = None
+        at = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            numbers = table.column("shard").to_numpy()
-            starts = [*np.flatnonzero(np.diff(numbers, prepend=-1)).tolist(), table.num_rows]
-            for a, z in zip(starts, starts[1:]):
-                if held and numbers[a] != shard:
-                    yield merged(held)
+            for row, key in enumerate(zip(table.column("shard").to_pylist(), table.column("lang").to_pylist(), strict=True)):
+                if held and key != at:
+                    yield merged(pa.concat_tables(held))
                     held = []
-                shard = numbers[a]
-                held.append(table.slice(a, z - a))
+                at = key
+                held.append(table.slice(row, 1))
         if held:
-            yield merged(held)
+            yield merged(pa.concat_tables(held))
 
-    dealt = _slices(stored, shards).repartition("shard").sortWithinPartitions("shard", "run", F.element_at("hash", 1), F.element_at("lang", 1), F.element_at("term", 1), F.element_at("source", 1))
-    found = dealt.mapInArrow(merge, "lang binary, term binary, total bigint, documents bigint, sources array<binary>, counts array<bigint>")
+    dealt = _slices(stored, shards).repartition("shard").sortWithinPartitions("shard", "lang", "run", F.element_at("hash", 1), F.element_at("term", 1))
+    found = dealt.mapInArrow(merge, "lang binary, term binary, total bigint, sources array<binary>, counts array<bigint>")
     text = [F.col(c).cast("string").alias(c) for c in ("lang", "term")]
-    return found.select(*text, "total", "documents", F.transform("sources", lambda s: s.cast("string")).alias("sources"), "counts")
+    return found.select(*text, "total", F.transform("sources", lambda s: s.cast("string")).alias("sources"), "counts")
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -72,10 +72,12 @@ def test_runs(spark):
     rows = runs(frame(spark, corpus(4, n=60)).coalesce(1), options).collect()
     by_run = defaultdict(list)
     for r in rows:
-        assert r["n"] == len(r["term"]) <= 5
-        by_run[r["run"]].append([*zip(r["hash"], r["lang"], r["term"], r["source"])])
-    assert len(by_run) > 3
-    assert all(sum(parts, []) == sorted(sum(parts, [])) for parts in by_run.values())
+        assert len(r["hash"]) == len(r["term"]) == len(r["n"]) <= 5 and sum(r["n"]) == len(r["source"]) == len(r["count"])
+        by_run[r["run"], r["lang"]].append([*zip(r["hash"], r["term"])])
+    assert len(by_run) > 10
+    assert all(sum(sorted(parts), []) == sorted(sum(parts, [])) for parts in by_run.values())
+    # all occurrences are there
+    assert sum(sum(r["count"]) for r in rows) == sum(len(terms(t)) for t, _, _ in corpus(4, n=60))
 
 
 def test_odd_rows(spark):
