@@ -17,8 +17,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate, groupby, pairwise
-from operator import itemgetter
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -172,34 +171,47 @@ def frequencies(stored: DataFrame, options: DivergenceOptions = DivergenceOption
     size = stored.agg(F.sum(F.size("source").cast("bigint"))).head()[0] or 0
     shards = min(1 << 31, max(1, -(-size // options.shard)))
 
-    def postings(table: pa.Table) -> Iterator[tuple]:
-        """The terms of one run in one shard, in order."""
-        for row in range(table.num_rows):
-            hashed, term, docs, n, source, count, names = (x.to_pylist() for x in _lists(table, row))
-            source = [names[k] for k in source]
-            ends = [0, *accumulate(n)]
-            yield from zip(hashed, term, docs, (source[a:z] for a, z in pairwise(ends)), (count[a:z] for a, z in pairwise(ends)), strict=True)
-
     def merged(table: pa.Table) -> pa.RecordBatch:
         """The frequencies of one language in one shard, whose rows are sorted by run and, in a run, by their first terms."""
+        blocks = [_lists(table, row) for row in range(table.num_rows)]
+        hashed, docs, n, count = (np.concatenate([b[k].to_numpy() for b in blocks]) for k in (0, 2, 3, 5))
+        term = pa.concat_arrays([b[1] for b in blocks])
+        names = sorted({x for b in blocks for x in b[6].to_pylist()})
+        place = {x: k for k, x in enumerate(names)}
+        source = np.concatenate([np.array([place[x] for x in b[6].to_pylist()], np.int64)[b[4].to_numpy()] for b in blocks])
+
         run = table.column("run").combine_chunks().dictionary_encode().indices.to_numpy()
-        starts = [*np.flatnonzero(np.diff(run, prepend=-1)).tolist(), table.num_rows]
-        slices = [postings(table.slice(a, z - a)) for a, z in pairwise(starts)]
-        out: tuple[list, ...] = ([], [], [], [])
-        for (_, term), same in groupby(heapq.merge(*slices), itemgetter(0, 1)):
-            same = list(same)
-            if term and sum(p[2] for p in same) < options.least_documents:
-                continue
-            sources: dict = {}
-            for _, _, _, names, counts in same:
-                for name, count in zip(names, counts, strict=True):
-                    sources[name] = sources.get(name, 0) + count
-            for column, value in zip(out, (term, sum(sources.values()), list(sources), list(sources.values())), strict=True):
-                column.append(value)
-        kinds = (pa.binary(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-        columns = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-        lang = pa.array([table.column("lang")[0].as_py()] * len(out[0]), pa.binary())
-        return pa.RecordBatch.from_arrays([lang, *columns], names=["lang", "term", "total", "sources", "counts"])
+        ends = np.cumsum([len(b[0]) for b in blocks])
+        borders = [0, *ends[:-1][np.diff(run) != 0].tolist(), len(hashed)]
+        whole, terms = hashed.tolist(), term.to_pylist()
+        order = np.fromiter((p[2] for p in heapq.merge(*(zip(whole[a:z], terms[a:z], range(a, z), strict=True) for a, z in pairwise(borders)))), np.int64, len(whole))
+
+        begins = np.ones(len(order), bool)
+        term = term.take(pa.array(order))
+        if len(order) > 1:
+            begins[1:] = (np.diff(hashed[order]) != 0) | pa.compute.not_equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False)
+        first = np.flatnonzero(begins)
+        kept = np.add.reduceat(docs[order], first) >= options.least_documents
+        kept |= pa.compute.equal(term.take(pa.array(first)), b"").to_numpy(zero_copy_only=False)
+        # the postings of the kept terms, source by source
+        number = np.repeat(np.cumsum(begins) - 1, n[order])
+        size = n[order].astype(np.int64)
+        at = np.repeat((np.cumsum(n.astype(np.int64)) - n)[order] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        chosen = kept[number]
+        key, same = np.unique(number[chosen] * len(names) + source[at[chosen]], return_inverse=True)
+        counts = np.zeros(len(key), np.int64)
+        np.add.at(counts, same, count[at[chosen]])
+        own, which = np.divmod(key, max(1, len(names)))
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        offsets = pa.array(np.append(starts, len(own)), pa.int32())
+        lang = pa.array([table.column("lang")[0].as_py()] * len(starts), pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [
+                lang, term.take(pa.array(first[kept])), pa.array(np.add.reduceat(counts, starts) if len(starts) else counts),
+                pa.ListArray.from_arrays(offsets, pa.array(names, pa.binary()).take(pa.array(which))), pa.ListArray.from_arrays(offsets, pa.array(counts)),
+            ],
+            names=["lang", "term", "total", "sources", "counts"],
+        )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
