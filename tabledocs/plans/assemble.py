@@ -1,9 +1,10 @@
 """From many rows to texts of groups of any size, by one rule.
 
-The rows of a group are ranked, and every ``max_rows`` consecutive ranks make a
-part: a text of its own.  The rule is the same for every group, depends on the
-rows alone, and bounds what a task collects.  Nothing is measured beforehand, so
-no job runs while a frame is built.
+The rows of a group are ranked, and their bytes summed in that order; ranks and sums
+say which part, a text of its own, a row belongs to. The rule is the same for every group,
+depends on the rows alone, and bounds what a task collects in rows and in bytes. How the ranks come
+about depends on size: a group that makes one part needs none, and larger ones are ranked
+over range partitions, so that no task holds a group whole.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 PART_ROWS = 20_000
+PART_BYTES = 16 << 20
 
 
 def _join_ordered(order: list[str], separator: str) -> Column:
@@ -28,30 +30,81 @@ def group_text(
     *,
     separator: str = "",
     max_rows: int = PART_ROWS,
-    bounded: bool = False,
+    max_bytes: int = PART_BYTES,
+    most: Column | None = None,
 ) -> DataFrame:
     """``keys, part, body``: the ordered texts of each group.
 
-    Part p holds the rows of ranks p * max_rows + 1 to (p + 1) * max_rows in the
-    order given; rows that tie are ordered by their text.  The ranks of a group come
-    from a sort that may spill, and only a part is ever collected.  ``bounded=True`` states that every group is small by
-    construction (rows of one page, say), which makes it part 0 without ranks.
-    Without keys the rows are ranked over range partitions (see ``ordered_position``).
+    Rows are ranked in the order given; rows that tie are ordered by their text. A row of rank r, with b bytes of text
+    before it in its group, belongs to part ``(r - 1) div max_rows + b div max_bytes``. So a part has at most ``max_rows`` rows and, besides its last row,
+    less than ``max_bytes`` bytes of text; parts are in order, and a number may be left out where both bounds are met at once.
+
+    One aggregation counts rows and bytes per group; ``most``, at least the bytes of a row's text, spares
+    making the texts for it. Groups that fit a part are collected; the others, and those that only may be larger, are
+    ranked by ``running_totals``, whatever their size, with the same result.
     """
     columns = {n: F.col(n) for n in order} if isinstance(order, list) else order
     names = [f"__o{i}" for i in range(len(columns))]
     slim = df.select(
         *keys, *[c.alias(n) for n, c in zip(names, columns.values(), strict=True)], text.alias("__text")
     )
-    if bounded:
-        placed = slim.withColumn("part", F.lit(0).cast("long"))
-    elif keys:
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*names, "__text"))
-        placed = slim.withColumn("part", F.floor((rank - 1) / F.lit(max_rows)).cast("long"))
-    else:
-        placed = ordered_position(slim, [F.col(n) for n in (*names, "__text")], "__rank")
-        placed = placed.withColumn("part", F.floor((F.col("__rank") - 1) / F.lit(max_rows)).cast("long"))
-    return placed.groupBy(*keys, "part").agg(_join_ordered(names, separator).alias("body"))
+    size = F.coalesce(F.octet_length("__text"), F.lit(0)).cast("bigint")
+    sizes = df.select(*keys, (F.coalesce(F.octet_length(text), F.lit(0)) if most is None else most).cast("bigint").alias("__most"))
+    sizes = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.sum("__most").alias("__bytes"))
+    large = sizes.where((F.col("__rows") > max_rows) | (F.col("__bytes") >= max_bytes)).select(*keys)
+    first = F.lit(0).cast("bigint").alias("part")
+    if large.isEmpty():
+        return slim.groupBy(*keys).agg(_join_ordered(names, separator).alias("body")).select(*keys, first, "body") if keys else (
+            # an empty table has no text
+            slim.agg(F.count(F.lit(1)).alias("__rows"), _join_ordered(names, separator).alias("body")).where("__rows > 0").select(first, "body")
+        )
+    wide = slim
+    if keys:
+        large = durable(large)
+        alike = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+        wide = slim.alias("l").join(large.alias("r"), alike, "left_semi")
+        small = slim.alias("l").join(large.alias("r"), alike, "left_anti").groupBy(*keys).agg(_join_ordered(names, separator).alias("body"))
+    placed = running_totals(wide, keys, [F.col(n) for n in (*names, "__text")], {"__before": size})
+    part = F.floor((F.col("__rank") - 1) / max_rows) + F.floor((F.col("__before") - size) / max_bytes)
+    parts = placed.withColumn("part", part.cast("bigint")).groupBy(*keys, "part").agg(_join_ordered(["__rank"], separator).alias("body"))
+    return small.select(*keys, first, "body").unionByName(parts) if keys else parts
+
+
+def running_totals(
+    df: DataFrame, keys: list[str], by: list[Column], sums: dict[str, Column], rank: str = "__rank"
+) -> DataFrame:
+    """``df`` with each row's rank in its group in the order ``by``, and the running sums of columns up to it, itself included.
+
+    A segmented prefix sum: rows are range-partitioned by keys and order and stored, so that a hot key is cut into
+    as many stretches as partitions; a stretch is summed up in one task, and starts from the totals of the key's stretches before it. Rows that tie
+    in everything are interchangeable and are dealt out as well. Without keys all rows are one group.
+    """
+    columns = df.columns
+    tie, at, stretch = "__tie", "__at", "__stretch"
+    total = {n: f"__total{i}" for i, n in enumerate(sums)}
+    ordered = [*[F.col(f"`{k}`") for k in keys], *by, F.col(tie)]
+    # several stretches to a task, so that dealing them out by number is even
+    stretches = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = durable(
+        df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(stretches, *ordered).sortWithinPartitions(*ordered)
+        .withColumn(at, F.monotonically_increasing_id()).withColumn(stretch, F.shiftright(at, 33))
+    )
+    counted = placed.groupBy(*keys, stretch).agg(F.count(F.lit(1)).alias("__n"), *[F.sum(c).alias(total[n]) for n, c in sums.items()])
+    # a key has as many rows here as partitions
+    earlier = Window.partitionBy(*keys).orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select(
+        *keys, stretch, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__skip"),
+        *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(t) for t in total.values()],
+    )
+    # stretches are dealt out by number, one or a few to a task, which the windows then need no other exchange for
+    own = Window.partitionBy(*keys, stretch).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.repartitionByRange(stretch).select(
+        *columns, stretch, F.row_number().over(own).alias(rank), *[F.sum(c).over(own).alias(n) for n, c in sums.items()]
+    )
+    alike = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in (*keys, stretch)]
+    return local.alias("l").join(offsets.alias("r"), alike, "left").select(
+        *[F.col(f"l.`{c}`") for c in columns], (F.col(rank) + F.col("__skip")).alias(rank), *[(F.col(n) + F.col(t)).alias(n) for n, t in total.items()]
+    )
 
 
 def ordered_position(df: DataFrame, by: list[Column], output: str = "position") -> DataFrame:

@@ -8,7 +8,7 @@ from tabledocs.functions import render
 from tabledocs.functions.payload import object_items
 from tabledocs.functions.text import escape_text
 from tabledocs.operators.extract import each
-from tabledocs.plans.assemble import PART_ROWS, group_text
+from tabledocs.plans.assemble import PART_BYTES, PART_ROWS, group_text
 from tabledocs.plans.options import WriteOptions
 
 Columns = dict[str, Column] | list[str]
@@ -44,6 +44,12 @@ def _csv_line(columns: dict[str, Column], types: dict[str, str], delimiter: str)
     return F.concat_ws(delimiter, *fields)
 
 
+def _most_bytes(columns: dict[str, Column], types: dict[str, str]) -> Column:
+    """At least the bytes of a row's text in any target, without making it: no character is escaped by more than six others."""
+    sizes = [F.lit(32) if types[n] in _PLAIN_TYPES else F.coalesce(F.octet_length(c.cast("string")), F.lit(0)) * 6 for n, c in columns.items()]
+    return sum(sizes, F.lit(sum(len(n.encode()) * 6 + 32 for n in columns)))
+
+
 def render_groups(
     df: DataFrame,
     keys: list[str],
@@ -54,13 +60,13 @@ def render_groups(
     caption: str | None = None,
     write: WriteOptions = WriteOptions(),
     max_rows: int = PART_ROWS,
-    bounded: bool = False,
+    max_bytes: int = PART_BYTES,
     output: str = "payload",
 ) -> DataFrame:
     """``keys, part, payload``: the rows of each group as one table or text.
 
-    ``caption`` names a key column.  Every ``max_rows`` rows of a group are one
-    complete text, ordered by ``part``.
+    ``caption`` names a key column.  A group of more than ``max_rows`` rows or ``max_bytes`` bytes makes several
+    complete texts, ordered by ``part`` (the rule of ``group_text``).
     """
     named = _named(columns)
     types = _types(df, named)
@@ -74,7 +80,7 @@ def render_groups(
         separator = ","
     else:
         raise ValueError("target must be 'html', 'csv' or 'json'")
-    grouped = group_text(df, keys, order, line, separator=separator, max_rows=max_rows, bounded=bounded)
+    grouped = group_text(df, keys, order, line, separator=separator, max_rows=max_rows, max_bytes=max_bytes, most=_most_bytes(named, types))
     body = F.col("body")
     if target == "html":
         text = F.concat(
@@ -98,6 +104,18 @@ def render_all(df: DataFrame, columns: Columns, order: dict[str, Column] | list[
     return render_groups(df, [], columns, order, target, **options)
 
 
+def first_appearance(df: DataFrame, items: Column, order: list[Column]) -> list[str]:
+    """The keys of all records, each once, in order of first appearance.
+
+    ``items`` is the map of a row's record.  The first position of each key is a minimum, so it is taken per task
+    first; only the names, the columns of a result, reach the driver, as those of an inferred schema do.
+    """
+    at = [f"__b{i}" for i in range(len(order))]
+    keys = df.select(*[c.alias(n) for n, c in zip(at, order, strict=True)], F.posexplode(F.map_keys(items)).alias("__k", "__key"))
+    first = keys.groupBy("__key").agg(F.min(F.struct(*at, "__k")).alias("__first"))
+    return [r["__key"] for r in first.orderBy("__first").select("__key").collect()]
+
+
 def combine_objects(
     df: DataFrame,
     item: str,
@@ -106,22 +124,22 @@ def combine_objects(
     *,
     write: WriteOptions = WriteOptions(),
     max_rows: int = PART_ROWS,
+    max_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``part, payload``: the objects of all items as one output.
 
-    Columns of HTML and CSV are the keys of the first object; finding them reads
-    one row, as reading the header of a file does.
+    Columns of HTML and CSV are the keys of all objects, in order of first appearance; an object without a key has an empty cell
+    there.  ``__`` keys are left out and strings parsed as in ``object_items``.
     """
     typed = target == "json"
     exploded = each(df, order, object_items(F.col(item), typed=typed), "__rec", "__i")
     by = {**{o: F.col(o) for o in order}, "__i": F.col("__i")}
     if typed:
-        grouped = group_text(exploded, [], by, F.to_json("__rec"), separator=",", max_rows=max_rows)
+        grouped = group_text(exploded, [], by, F.to_json("__rec"), separator=",", max_rows=max_rows, max_bytes=max_bytes)
         return grouped.select("part", F.concat(F.lit("["), F.col("body"), F.lit("]")).alias("payload"))
-    first = exploded.orderBy(*order, "__i").select(F.map_keys("__rec").alias("k")).head()
-    names = list(first.k) if first else []
+    names = first_appearance(exploded, F.col("__rec"), list(by.values()))
     columns = {n: F.try_element_at("__rec", F.lit(n)) for n in names}
-    return render_groups(exploded, [], columns, by, target, write=write, max_rows=max_rows)
+    return render_groups(exploded, [], columns, by, target, write=write, max_rows=max_rows, max_bytes=max_bytes)
 
 
 def append_sections(

@@ -2,6 +2,7 @@
 
 import json
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import tabledocs as td
 from tabledocs import ExtractOptions, StyleOptions, TableSelector
 from tabledocs.functions.payload import csv_records, json_records
+from tabledocs.plans.assemble import running_totals
 from tabledocs.sources import files
 from tabledocs.streaming.documents import stream_documents, stream_rejects, stream_tables, write_stream
 
@@ -48,12 +50,64 @@ def test_parts_depend_on_the_rows_alone(spark, partitions, adaptive):
     assert hot == {p: ",".join(str(3 * v) for v in range(300 * p, min(300 * p + 300, 2000))) for p in range(7)}
 
 
-def test_no_job_while_a_frame_is_built(spark):
-    spark.sparkContext.setJobGroup("build", "build")
-    td.render_groups(skewed(spark), ["k"], ["v", "t"], ["v"], "json", max_rows=300)
-    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
-    spark.sparkContext._jsc.clearJobGroup()
-    assert not jobs
+def test_sizes_are_counted_once_and_texts_wait(spark):
+    """Building a frame counts the groups; nothing is collected before the frame is used, and groups that fit need one exchange."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(t):
+        calls.add(1)
+        return t
+
+    df = skewed(spark, 300).withColumn("t", seen("t"))
+    out = td.group_text(df, ["k"], ["v"], F.col("t"))
+    assert calls.value == 300
+    assert "rangepartitioning" not in plan(out)
+
+
+def by_hand(rows, max_rows, max_bytes):
+    """(key, part): texts, one row after the other."""
+    out, state = {}, {}
+    for key, order, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1], r[2] or "")):
+        rank, before = state.get(key, (0, 0))
+        out.setdefault((key, rank // max_rows + before // max_bytes), []).append(text)
+        state[key] = (rank + 1, before + len((text or "").encode()))
+    return {k: ",".join(t for t in v if t is not None) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+@pytest.mark.parametrize("bounds", [(50, 10**9), (10**9, 700), (40, 900), (1, 1)])
+def test_parts_are_bounded_by_rows_and_bytes(spark, partitions, bounds):
+    rows = [(r.k, r.v % 400, r.t if r.v % 11 else None) for r in skewed(spark, 1500).collect()] + [("long", 1, "é" * 1000), ("long", 2, "z"), ("long", 2, "z"), ("long", 3, "")]
+    df = spark.createDataFrame(rows, "k string, v bigint, t string").repartition(partitions)
+    got = td.group_text(df, ["k"], ["v"], F.col("t"), separator=",", max_rows=bounds[0], max_bytes=bounds[1]).collect()
+    assert {(r.k, r.part): r.body for r in got} == by_hand(rows, *bounds) and len(got) == len({(r.k, r.part) for r in got})
+    whole = td.group_text(df, [], ["k", "v"], F.col("t"), separator=",", max_rows=bounds[0], max_bytes=bounds[1]).collect()
+    # without keys, null first
+    alone = [(None, ((k is not None, k or "", v)), t) for k, v, t in rows]
+    assert {(None, r.part): r.body for r in whole} == by_hand(alone, *bounds)
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 200])
+def test_one_key_is_ranked_by_many_tasks(spark, partitions):
+    """One key, and rows that all tie: ranks are 1 to n, sums run on, and stretches are about equal."""
+    df = spark.range(40_000).select(F.lit("k").alias("k"), F.lit(5).alias("v"), F.lit(3).cast("bigint").alias("n")).repartition(partitions)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = running_totals(df, ["k"], [F.col("v")], {"sum": F.col("n")})
+        got = out.select("__rank", "sum", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sorted(r["__rank"] for r in got) == list(range(1, 40_001)) and all(r["sum"] == 3 * r["__rank"] for r in got)
+    sizes = sorted(Counter(r.p for r in got).values())
+    assert len(sizes) > 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_no_groups(spark):
+    empty = skewed(spark).where("false")
+    assert td.group_text(empty, ["k"], ["v"], F.col("t")).count() == 0 and td.group_text(empty, [], ["v"], F.col("t")).count() == 0
+    assert td.render_all(empty, ["v"], ["v"], "csv").count() == 0
 
 
 def test_whole_batch_in_parts(spark):
@@ -72,6 +126,16 @@ def test_combine_objects_keeps_types_and_order(spark):
     assert "<td>1</td><td>&lt;</td>" in td.combine_objects(items, "item", ["i"], "html").head().payload
 
 
+def test_columns_of_all_objects(spark):
+    """Keys that only later objects have are columns too, in order of first appearance."""
+    items = spark.createDataFrame([(3, '{"d":1,"a":2}'), (1, '{"a":1}'), (2, '[{"c":true,"b":null},{"b":2}]'), (4, "plain")], "i int, item string")
+    for n in (1, 5):
+        assert td.combine_objects(items.repartition(n), "item", ["i"], "csv").head().payload == "a,c,b,d,value\n1,,,,\n,true,,,\n,,2,,\n2,,,1,\n,,,,plain"
+    parts = td.combine_objects(items, "item", ["i"], "html", max_rows=2).orderBy("part").collect()
+    assert [p.part for p in parts] == [0, 1, 2] and all("<th>value</th>" in p.payload for p in parts)
+    assert td.combine_objects(items.where("false"), "item", ["i"], "csv").count() == 0
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

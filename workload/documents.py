@@ -70,7 +70,6 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(opening, "section", F.when(F.col("last"), "</div>").otherwise(""))
     pages = group_text(
         marked.withColumnRenamed("part", "section_part"), ["page_id", "section_part"], ["r_name", "n_name"], text,
-        bounded=True,
     )
     return pages.select("page_id", F.col("body").alias("html"))
 
@@ -184,15 +183,14 @@ conv AS (SELECT conv_id, turn, role, '"' || text || '", & <end>' AS text FROM co
 def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, html``: an outer row per region with a table of its nations."""
     counted = customers(spark, sf_dir).groupBy("page_id", "r_name", "n_name").agg(F.count(F.lit(1)).alias("n"))
-    # at most one row per nation and page
     inner = group_text(
-        counted, ["page_id", "r_name"], ["n_name"], html_row(F.array("n_name", F.col("n").cast("string"))), bounded=True
+        counted, ["page_id", "r_name"], ["n_name"], html_row(F.array("n_name", F.col("n").cast("string")))
     )
     outer_row = F.concat(
         F.lit("<tr><td>"), "r_name", F.lit("</td><td><table>"), heads("nation", "n"), F.lit("<tbody>"), "body",
         F.lit("</tbody></table></td></tr>"),
     )
-    pages = group_text(inner.withColumnRenamed("part", "p"), ["page_id"], ["r_name"], outer_row, bounded=True)
+    pages = group_text(inner.withColumnRenamed("part", "p"), ["page_id"], ["r_name"], outer_row)
     return pages.select("page_id", F.concat(F.lit("<table>"), heads("region", "nations"), F.lit("<tbody>"), "body", F.lit("</tbody></table>")).alias("html"))
 
 

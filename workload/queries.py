@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,24 +20,7 @@ from tabledocs.operators.shape import sort_keys
 from tabledocs.plans.assemble import checkpoint_folder
 from tabledocs.streaming.documents import stream_documents, stream_tables, write_stream
 from workload import documents as D
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    """Register a query under its function name, with its SQL if there is any."""
-
-    def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return register
-
+from workload.registry import ORACLE, QUERIES, Query, query  # noqa: F401
 
 PLAIN = ExtractOptions(headings=False)
 
@@ -62,39 +44,40 @@ FROM tabs"""
 
 @query(
     f"""WITH {D.SQL_CUSTOMERS}
-SELECT n_name, '<table><caption>' || n_name || '</caption>{D.SQL_CUSTOMER_HEAD}<tbody>' ||
+SELECT n_name, part, '<table><caption>' || n_name || '</caption>{D.SQL_CUSTOMER_HEAD}<tbody>' ||
        string_agg({D.SQL_CUSTOMER_LINE}, '' ORDER BY c_custkey) || '</tbody></table>' AS html
-FROM cust GROUP BY n_name"""
+FROM (SELECT *, (row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) - 1) // 40 AS part FROM cust) GROUP BY n_name, part"""
 )
 def render_html_by_nation(spark, sf):
     return td.render_groups(
-        D.customers(spark, sf), ["n_name"], list(D.CUSTOMER_HEADERS), ["c_custkey"], caption="n_name", output="html"
-    ).select("n_name", "html")
+        D.customers(spark, sf), ["n_name"], list(D.CUSTOMER_HEADERS), ["c_custkey"], caption="n_name", output="html", max_rows=40
+    )
 
 
 @query(
     f"""WITH {D.SQL_CONVERSATIONS}
-SELECT conv_id, 'turn;role;text' || chr(10) || string_agg(
+SELECT conv_id, part, 'turn;role;text' || chr(10) || string_agg(
   turn || ';' || role || ';"' || replace(text, '"', '""') || '"', chr(10) ORDER BY turn, role, text) AS csv
-FROM conv GROUP BY conv_id"""
+FROM (SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1) // 6 AS part FROM conv) GROUP BY conv_id, part"""
 )
 def records_to_csv(spark, sf):
     return td.render_groups(
         D.conversations(spark, sf), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], "csv",
-        write=WriteOptions(delimiter=";"), output="csv",
-    ).select("conv_id", "csv")
+        write=WriteOptions(delimiter=";"), output="csv", max_rows=6,
+    )
 
 
 @query(
-    f"""WITH {D.SQL_CONVERSATIONS}
-SELECT conv_id, '[' || string_agg('{{"turn":' || turn || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"text":' ||
-  CAST(to_json(text) AS VARCHAR) || '}}', ',' ORDER BY turn, role, text) || ']' AS json
-FROM conv GROUP BY conv_id"""
+    f"""WITH {D.SQL_CONVERSATIONS},
+j AS (SELECT conv_id, turn, role, text, '{{"turn":' || turn || ',"role":' || CAST(to_json(role) AS VARCHAR) || ',"text":' || CAST(to_json(text) AS VARCHAR) || '}}' AS t FROM conv),
+b AS (SELECT *, coalesce(sum(strlen(t)) OVER (PARTITION BY conv_id ORDER BY turn, role, text, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM j)
+SELECT conv_id, CAST(before // 1200 AS BIGINT) AS part, '[' || string_agg(t, ',' ORDER BY turn, role, text) || ']' AS json FROM b GROUP BY conv_id, before // 1200"""
 )
 def records_to_json(spark, sf):
+    """One JSON text per conversation, or several where its bytes exceed the bound."""
     return td.render_groups(
-        D.conversations(spark, sf), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], "json", output="json"
-    ).select("conv_id", "json")
+        D.conversations(spark, sf), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], "json", output="json", max_bytes=1200
+    )
 
 
 @query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
@@ -149,18 +132,18 @@ def extract_cells(spark, sf):
 @query(
     """WITH r AS (SELECT p_brand, p_partkey, p_name, p_size,
   row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS row_no FROM part)
-SELECT p_brand, CAST(row_no AS INTEGER) AS row_no, CAST(p_partkey AS VARCHAR) AS c1, p_name AS c2,
+SELECT p_brand, (row_no - 1) // 30 AS part, CAST((row_no - 1) % 30 + 1 AS INTEGER) AS row_no, CAST(p_partkey AS VARCHAR) AS c1, p_name AS c2,
        CAST(p_size AS VARCHAR) AS c3, 3 AS width FROM r"""
 )
 def extract_headerless(spark, sf):
     """Tables without a header row: rows come back as arrays of cells."""
     pages = td.render_groups(
         D.table(spark, sf, "part"), ["p_brand"], ["p_partkey", "p_name", "p_size"], ["p_partkey"],
-        write=WriteOptions(include_headers=False), output="html",
-    ).select("p_brand", "html")
+        write=WriteOptions(include_headers=False), output="html", max_rows=30,
+    )
     cells = F.col("cells")
     return td.rows(pages, "html", PLAIN).select(
-        "p_brand", "row_no", cells[0].alias("c1"), cells[1].alias("c2"), cells[2].alias("c3"),
+        "p_brand", "part", "row_no", cells[0].alias("c1"), cells[1].alias("c2"), cells[2].alias("c3"),
         F.size(cells).alias("width"),
     )
 
@@ -320,14 +303,13 @@ leaf AS (
   SELECT page_id, r_name, n_name, '"' || n_name || '":[' || {_sql_record_list()} || ']' AS j, count(*) AS n
   FROM cust GROUP BY page_id, r_name, n_name),
 reg AS (
-  SELECT page_id, r_name, '"' || replace(r_name, ' ', '_') || '":{{' || string_agg(j, ',' ORDER BY n_name) || '}}' AS j,
-         count(*) AS nt, string_agg(j, ',') AS only
+  SELECT page_id, r_name, '"' || replace(r_name, ' ', '_') || '":{{' || string_agg(j, ',' ORDER BY n_name) || '}}' AS j
   FROM leaf GROUP BY page_id, r_name)
-SELECT page_id, '{{' || string_agg(j, ',' ORDER BY r_name) || '}}' AS json FROM reg GROUP BY page_id HAVING sum(nt) > 1"""
+SELECT page_id, '{{' || string_agg(j, ',' ORDER BY r_name) || '}}' AS json FROM reg GROUP BY page_id"""
 )
 def heading_keyed_json(spark, sf):
     pages = td.with_tables(D.customer_pages(spark, sf), "html", ExtractOptions())
-    keyed = td.heading_keyed_json(pages.filter(F.size("tables") > 1), "tables", "json")
+    keyed = td.heading_keyed_json(pages, "tables", "json")
     return keyed.select("page_id", "json")
 
 
@@ -640,7 +622,9 @@ j AS (SELECT conv_id, sum(strlen('{{"turn":' || turn || ',"role":' || CAST(to_js
 SELECT conv_id, CASE WHEN b > 1500 THEN 'output too large: ' || CAST(b AS BIGINT) || ' bytes exceeds 1500' END AS error FROM j"""
 )
 def output_size_guard(spark, sf):
-    docs = records_to_json(spark, sf)
+    docs = td.render_groups(
+        D.conversations(spark, sf), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], "json", output="json"
+    )
     return docs.select("conv_id", td.output_size_error("json", 1500).alias("error"))
 
 
@@ -692,7 +676,7 @@ def escape_documents(spark, sf):
 
 @query(
     f"""WITH {D.SQL_LINES}
-SELECT l_orderkey, CAST(row_no AS INTEGER) AS row_no,
+SELECT l_orderkey, (row_no - 1) // 20000 AS part, CAST((row_no - 1) % 20000 + 1 AS INTEGER) AS row_no,
   '**' || line || '** *' || flag || '*' AS a, '[part ' || part || '](/p/' || part || ')' || chr(10) || '~~' || qty || '~~' AS b,
   '- ' || flag || chr(10) || '- ' || status || chr(10) || '1. ' || line || chr(10) || '2. ' || supp AS c FROM li"""
 )
@@ -706,12 +690,12 @@ def markdown_cells(spark, sf):
         F.lit("</span></li></ol></td></tr>"),
     )
     pages = td.group_text(D.lines(spark, sf), ["l_orderkey"], list(D.LINE_HEADERS), line).select(
-        "l_orderkey", F.concat(F.lit("<table>"), "body", F.lit("</table>")).alias("html")
+        "l_orderkey", "part", F.concat(F.lit("<table>"), "body", F.lit("</table>")).alias("html")
     )
     options = ExtractOptions(headings=False, cell_format="markdown")
     c = F.col("cells")
     return td.rows(pages, "html", options).select(
-        "l_orderkey", "row_no", c[0].alias("a"), c[1].alias("b"), c[2].alias("c")
+        "l_orderkey", "part", "row_no", c[0].alias("a"), c[1].alias("b"), c[2].alias("c")
     )
 
 
@@ -743,8 +727,7 @@ def replace_from_records(spark, sf):
     fresh = D.customers(spark, sf).filter("page_id % 10 <> 0").groupBy(
         "page_id", F.col("c_mktsegment").alias("segment")
     ).agg(F.count(F.lit(1)).alias("n"))
-    # at most one row per segment and page
-    tables = td.render_groups(fresh, ["page_id"], ["segment", "n"], ["segment"], bounded=True)
+    tables = td.render_groups(fresh, ["page_id"], ["segment", "n"], ["segment"])
     out = td.replace_from(
         D.customer_pages(spark, sf), tables, "page_id", "payload", selector=TableSelector("last-table")
     )
@@ -766,8 +749,7 @@ def replace_from_json(spark, sf):
     fresh = D.customers(spark, sf).groupBy("page_id", F.col("c_mktsegment").alias("segment")).agg(
         F.count(F.lit(1)).alias("n"), F.lit("x").alias("unused")
     )
-    # at most one row per segment and page
-    payloads = td.render_groups(fresh, ["page_id"], ["segment", "unused", "n"], ["segment"], "json", bounded=True)
+    payloads = td.render_groups(fresh, ["page_id"], ["segment", "unused", "n"], ["segment"], "json")
     tables = td.replacement_tables(
         payloads, "json", shape=ShapeOptions(sort_by="n", order="descending", fields="N, segment"),
         style=StyleOptions(table_width="full", header_text_align="center", numeric_alignment="right", banded_rows="on"),
@@ -936,13 +918,13 @@ def html_to_json_captioned(spark, sf):
 
 @query(
     f"""WITH {D.SQL_LINES}
-SELECT l_orderkey, '[' || chr(10) || string_agg('  {{' || chr(10) || '    "line": ' || line || ',' || chr(10) || '    "flag": "' || flag || '"' || chr(10) || '  }}', ',' || chr(10) ORDER BY row_no) || chr(10) || ']' AS output
-FROM li GROUP BY l_orderkey"""
+SELECT l_orderkey, (row_no - 1) // 20000 AS part, '[' || chr(10) || string_agg('  {{' || chr(10) || '    "line": ' || line || ',' || chr(10) || '    "flag": "' || flag || '"' || chr(10) || '  }}', ',' || chr(10) ORDER BY row_no) || chr(10) || ']' AS output
+FROM li GROUP BY l_orderkey, (row_no - 1) // 20000"""
 )
 def pretty_json_output(spark, sf):
     docs = td.render_groups(D.lines(spark, sf), ["l_orderkey"], ["line", "flag"], list(D.LINE_HEADERS), "json")
     out = td.convert(docs, "json", "json", write=WriteOptions(pretty=True))
-    return out.select("l_orderkey", "output")
+    return out.select("l_orderkey", "part", "output")
 
 
 @query(
@@ -961,15 +943,15 @@ def key_value_outputs(spark, sf):
 
 @query(
     f"""WITH {D.SQL_LINES}
-SELECT l_orderkey, CAST(row_no - 1 AS INTEGER) AS item_no, CAST(line AS VARCHAR) AS line, flag FROM li"""
+SELECT l_orderkey, (row_no - 1) // 20000 AS part, CAST((row_no - 1) % 20000 AS INTEGER) AS item_no, CAST(line AS VARCHAR) AS line, flag FROM li"""
 )
 def wrap_output(spark, sf):
     """Unwrapped object output: every object becomes a row of its own."""
     docs = td.render_groups(D.lines(spark, sf), ["l_orderkey"], ["line", "flag"], list(D.LINE_HEADERS), "html")
-    out = td.convert(docs, "html", "objects").select("l_orderkey", "output")
+    out = td.convert(docs, "html", "objects").select("l_orderkey", "part", "output")
     items = td.wrap_output(out, wrap=False)
     return items.select(
-        "l_orderkey", (F.col("item_no") - 1).alias("item_no"), F.try_variant_get("item", "$.line", "string").alias("line"),
+        "l_orderkey", "part", (F.col("item_no") - 1).alias("item_no"), F.try_variant_get("item", "$.line", "string").alias("line"),
         F.try_variant_get("item", "$.flag", "string").alias("flag"),
     )
 
@@ -1066,9 +1048,12 @@ def replace_repeated_keys(spark, sf):
 def wide_group_round_trip(spark, sf):
     """All pages as escaped cells of a few documents of many megabytes, and every row read back."""
     pages = D.table(spark, sf, "pages").select("page_id", "html", F.lit(1).alias("g"))
-    docs = td.render_groups(pages, ["g"], ["page_id", "html"], ["page_id"])
+    docs = td.render_groups(pages, ["g"], ["page_id", "html"], ["page_id"], max_bytes=1 << 20)
     rows = td.rows(docs, "payload", ExtractOptions(selector=TableSelector("first-table"), sanitize=False))
     cells = rows.select(F.col("cells")[0].cast("bigint").alias("page_id"), F.col("cells")[1].alias("html"))
     return cells.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("page_id").alias("n_pages"), F.sum(F.octet_length("html")).cast("bigint").alias("bytes")
     )
+
+
+from workload import assembly_queries  # noqa: E402, F401
