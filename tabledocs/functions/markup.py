@@ -125,16 +125,15 @@ def balanced_levels(signature: Column, opening: str = "O", closing: str = "c") -
     """
 
     def deepest(sig: Column) -> Column:
+        # a bar begins anew; nothing is paired deeper than there are closing symbols
         return F.aggregate(
-            F.regexp_extract_all(sig, F.lit(f"{opening}+|{closing}+"), F.lit(0)),
+            F.regexp_extract_all(sig, F.lit(f"{opening}+|{closing}+|[^{opening}{closing}]"), F.lit(0)),
             F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
             lambda acc, run: let(
-                F.when(run.startswith(opening), acc["now"] + F.length(run)).otherwise(
-                    F.greatest(acc["now"] - F.length(run), F.lit(0))
-                ),
+                F.when(run.startswith(opening), acc["now"] + F.length(run)).when(run.startswith(closing), F.greatest(acc["now"] - F.length(run), F.lit(0))).otherwise(F.when(run == "|", F.lit(0)).otherwise(acc["now"])),
                 lambda now: F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most")),
             ),
-            lambda acc: acc["most"],
+            lambda acc: F.least(acc["most"], F.length(sig) - F.length(F.replace(sig, F.lit(closing), F.lit("")))),
         )
 
     def levels(sig: Column, passes: Column) -> Column:

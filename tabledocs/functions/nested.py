@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tabledocs.functions.css import elements_of, page_units
 from tabledocs.functions.markdown import inline_to_markdown, number_lists
 from tabledocs.functions.markup import ANY_TAG
 from tabledocs.functions.text import decode_entities, let, running_count, trim_text
+from tabledocs.functions.tree import counted_before, page_units, spans_of
 
 # One symbol for each kind of element that is looked up.
 _SYMBOLS = {"tr": "r", "td": "d", "th": "d", "caption": "c", "thead": "h", "table": "t"}
@@ -115,12 +115,10 @@ def tables_with_nested(html: Column, cell_format: str = "text") -> Column:
                 ),
             )
             seen = F.struct(
-                let(tables, lambda ts: F.transform(
-                    ts,
-                    lambda t: F.struct(
-                        t["pos"].alias("pos"), t["end"].alias("end"),
-                        F.size(F.filter(ts, lambda o: (o["pos"] <= t["pos"]) & (o["end"] >= t["end"]))).alias("depth"),
-                    ),
+                # those around a table began before it and have not ended
+                let(tables, lambda ts: counted_before(
+                    ts, F.transform(ts, lambda t: t["pos"]), F.transform(ts, lambda t: t["end"]),
+                    lambda t, opened, closed: F.struct(t["pos"].alias("pos"), t["end"].alias("end"), (opened - closed + 1).alias("depth")),
                 )).alias("tables"),
                 let(_named(elements, "tr"), _closed).alias("rows"),
                 let(_named(elements, "td", "th"), _closed).alias("cells"),
@@ -135,4 +133,4 @@ def tables_with_nested(html: Column, cell_format: str = "text") -> Column:
 
         return let(_signature(units), build)
 
-    return let(page_units(html), lambda u: let(elements_of(u), lambda els: collect(u, els)))
+    return let(page_units(html), lambda u: let(spans_of(u), lambda els: collect(u, els)))

@@ -14,7 +14,7 @@ from tabledocs.functions.nested import tables_with_nested
 from tabledocs.functions.payload import zip_record
 from tabledocs.functions.text import as_column, let
 from tabledocs.operators.quality import sanitize_html
-from tabledocs.operators.select import select_tables
+from tabledocs.operators.select import ordinals_of, reads_tree, select_tables, with_tree
 from tabledocs.plans.options import ExtractOptions
 
 
@@ -45,14 +45,17 @@ def with_tables(df: DataFrame, html: str = "html", options: ExtractOptions = Ext
     h, every = F.col("__page"), F.col("__every")
     read = tables_with_nested if o.include_nested else tables_column
     staged = staged.withColumn("__every", read(h, o.cell_format))
+    tree = None
+    if o.heading_selector.strip() or reads_tree(o.selector):
+        staged, tree = with_tree(staged, "__page", ordinals_of(o.selector, o.heading_selector))
     if o.heading_selector.strip():
-        staged = staged.withColumn("__paths", nearest_preceding_text(h, o.heading_selector))
+        staged = staged.withColumn("__paths", nearest_preceding_text(h, o.heading_selector, tree))
         staged = staged.withColumn("__paths", _single_paths(F.col("__paths")))
     elif o.detects_headings:
         staged = staged.withColumn("__paths", heading_paths(h))
     else:
         staged = staged.withColumn("__paths", F.array().cast(f"array<{HEADING_PATH_TYPE}>"))
-    staged = staged.withColumn("__chosen", select_tables(h, every, o.selector))
+    staged = staged.withColumn("__chosen", select_tables(h, every, o.selector, tree))
 
     def shape(total: Column, paths: Column):
         def one(t: Column) -> Column:

@@ -8,7 +8,7 @@ from tabledocs.functions.markup import balanced_levels, lossless_units, numbered
 from tabledocs.functions.render import minify
 from tabledocs.functions.text import let
 from tabledocs.operators.quality import html_error, sanitize_html
-from tabledocs.operators.select import no_match_error, selected_numbers
+from tabledocs.operators.select import no_match_error, ordinals_of, reads_tree, selected_numbers, with_tree
 from tabledocs.operators.style import style_tables
 from tabledocs.plans.convert import convert
 from tabledocs.plans.options import ShapeOptions, StyleOptions, TableSelector, WriteOptions
@@ -97,7 +97,10 @@ def replace_table(
     # captions are read only when tables are chosen by them
     read = tables_column if selector.preset == "table-with-caption" else numbered_tables
     staged = staged.withColumn("__every", read(F.col("__page")))
-    staged = staged.withColumn("__chosen", selected_numbers(F.col("__page"), F.col("__every"), selector))
+    tree = None
+    if reads_tree(selector):
+        staged, tree = with_tree(staged, "__page", ordinals_of(selector))
+    staged = staged.withColumn("__chosen", selected_numbers(F.col("__page"), F.col("__every"), selector, tree))
     spliced = splice_table(F.col("__page"), F.get("__chosen", F.lit(0)), F.col("__insert"))
     result = F.when(
         (F.size("__chosen") > 0) & F.col("__insert").isNotNull(), spliced
