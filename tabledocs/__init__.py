@@ -2,7 +2,7 @@
 
 from tabledocs.operators.extract import cells, each, record_columns, records, rows, tables, with_tables
 from tabledocs.operators.quality import (
-    checked, csv_error, html_depth, html_error, input_error, json_error, json_safety_error,
+    checked, counted, csv_error, html_depth, html_error, input_error, json_error, json_safety_error,
     object_error, output_size_error, sanitize_html, split_rejects,
 )
 from tabledocs.operators.replace import replace_from, replace_table, replacement_tables
@@ -19,7 +19,7 @@ from tabledocs.plans.options import (
 
 __all__ = [
     "ExtractOptions", "OptionError", "ShapeOptions", "StyleOptions", "TableSelector", "WriteOptions",
-    "append_sections", "cells", "checked", "combine_objects", "convert", "csv_error", "each", "fill_empty",
+    "append_sections", "cells", "checked", "combine_objects", "convert", "counted", "csv_error", "each", "fill_empty",
     "group_text", "heading_keyed_json", "html_depth", "html_error", "input_error", "json_error",
     "json_safety_error", "manipulate", "manipulate_records", "object_error", "ordered_position",
     "output_size_error", "parse_field_list", "project", "project_records", "record_columns", "records",

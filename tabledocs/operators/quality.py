@@ -6,7 +6,7 @@ can be set aside in a ``rejects`` frame instead of failing the job.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tabledocs.functions.text import as_column, is_blank, let, trim_text
 from tabledocs.functions.payload import csv_cells, csv_quote_error, json_invalid, json_shape
@@ -341,3 +341,21 @@ def split_rejects(
         F.col("__error").alias("error"),
     )
     return good, rejects
+
+
+def counted(df: DataFrame, error: Column | str, messages: dict[str, str], name: str = "errors") -> tuple[DataFrame, Observation]:
+    """``df`` as it is, and counts that are made on its way through whatever job uses it.
+
+    ``messages`` names kinds of errors by how their texts begin. After an action the observation has ``rows``, ``good`` and, for
+    each kind, its errors; ``other`` has those of no kind. The first kind that fits counts.
+    """
+    c = as_column(error)
+    observed = Observation(name)
+    taken = F.lit(False)
+    sums = [F.count(F.lit(1)).alias("rows"), F.count_if(c.isNull()).alias("good")]
+    for kind, start in messages.items():
+        fits = F.coalesce(c.startswith(start), F.lit(False))
+        sums.append(F.count_if(fits & ~taken).alias(kind))
+        taken = taken | fits
+    sums.append(F.count_if(c.isNotNull() & ~taken).alias("other"))
+    return df.observe(observed, *sums), observed

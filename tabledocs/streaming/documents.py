@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tabledocs.operators import extract as operators
-from tabledocs.operators.quality import html_error
+from tabledocs.operators.quality import counted, html_error, split_rejects
 from tabledocs.plans.options import ExtractOptions
 
 
@@ -56,3 +56,39 @@ def write_stream(
     if each_batch is not None:
         return writer.foreachBatch(each_batch).start()
     return writer.format(sink).option("path", output).outputMode("append").start()
+
+
+def write_records_and_rejects(
+    documents: DataFrame, id_column: str, output: str, rejects: str, checkpoint: str, *, html: str = "html",
+    options: ExtractOptions = ExtractOptions(), level: str = "records", target: str = "records",
+    available_now: bool = True, after_batch: Callable[[int, dict[str, int]], None] | None = None,
+) -> StreamingQuery:
+    """One stream with two outputs: records (rows, cells, tables) of good documents, and rejects with their reasons.
+
+    Each batch is read and judged once. Both sides are written under the number of the batch (``batch=n``), replacing what an attempt that
+    was ended before has left there; ``checkpoint`` says which documents make a batch. So after any restart each document is in
+    the outputs once. ``after_batch`` gets the number and the counts of ``rows``, ``good`` and ``rejected`` once both sides are written.
+    """
+    if level not in ("records", "rows", "cells", "tables"):
+        raise ValueError("level must be records, rows, cells or tables")
+    error = html_error(html)
+
+    def write(batch: DataFrame, number: int) -> None:
+        # held for two writes; a lost executor's part is read again
+        marked, counts = counted(batch.withColumn("__error", error), F.col("__error"), {}, f"batch-{number}")
+        marked = marked.persist()
+        try:
+            good, bad = split_rejects(marked, F.col("__error"), id_column, "html", target)
+            good = good.drop("__error")
+            getattr(operators, level)(good, html, options).write.mode("overwrite").parquet(f"{output}/batch={number}")
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        finally:
+            marked.unpersist()
+        if after_batch is not None:
+            seen = counts.get
+            after_batch(number, {"rows": seen["rows"], "good": seen["good"], "rejected": seen["other"]})
+
+    writer = documents.writeStream.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write).start()

@@ -12,7 +12,7 @@ from tabledocs import ExtractOptions, StyleOptions, TableSelector
 from tabledocs.functions.payload import csv_records, json_records
 from tabledocs.plans.assemble import running_totals
 from tabledocs.sources import files
-from tabledocs.streaming.documents import stream_documents, stream_rejects, stream_tables, write_stream
+from tabledocs.streaming.documents import stream_documents, stream_rejects, stream_tables, write_records_and_rejects, write_stream
 
 
 def skewed(spark, n=6000):
@@ -187,6 +187,55 @@ def test_stream_equals_batch(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == len(got) + 1
 
 
+def test_stream_with_rejects_after_a_crash(spark, tmp_path):
+    """A batch fails after its records are written and before its rejects are; the restarted stream has each document once."""
+    source, out, bad, state = (str(tmp_path / x) for x in ("in", "out", "bad", "state"))
+    rows = [(i, f"<table><tr><th>v</th></tr><tr><td>{i}</td></tr><tr><td>x</td></tr></table>" if i % 3 else "bad") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id int, html string").repartition(4).write.parquet(source)
+    seen = {}
+
+    def run(fail_at=None):
+        documents = stream_documents(spark, source, "doc_id int, html string", files_per_trigger=1)
+
+        def after(number, counts):
+            seen[number] = counts
+            if number == fail_at:
+                raise RuntimeError("ended here")
+
+        write_records_and_rejects(documents, "doc_id", out, bad, state, options=ExtractOptions(headings=False), after_batch=after).awaitTermination()
+
+    def result():
+        good = sorted((r.doc_id, r.row_no) for r in spark.read.parquet(out).collect())
+        return good, sorted((r.doc_id, r.error) for r in spark.read.parquet(bad).collect())
+
+    with pytest.raises(Exception, match="ended here"):
+        run(fail_at=1)
+    # what an attempt before has left of a batch: records only
+    spark.createDataFrame([(777, 1, "v")], "doc_id int, row_no int, caption string").write.mode("overwrite").parquet(f"{out}/batch=1")
+    run()
+    expected = sorted((i, n) for i, _ in rows if i % 3 for n in (1, 2)), sorted((i, "no table elements found") for i, _ in rows if i % 3 == 0)
+    assert result() == expected
+    assert sorted(seen) == [0, 1, 2, 3] and sum(c["rows"] for c in seen.values()) == 40
+    assert sum(c["good"] for c in seen.values()) == 26 and sum(c["rejected"] for c in seen.values()) == 14
+    # nothing new: nothing written; later files only once
+    run()
+    assert result() == expected
+    spark.createDataFrame([(99, rows[1][1]), (100, "")], "doc_id int, html string").coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert len(result()[0]) == len(expected[0]) + 2 and result()[1][-1] == (100, "must be a non-empty string")
+
+
+def test_counts_on_the_way(spark):
+    """Counts of errors come from the job that writes, and equal the rejects."""
+    df = spark.createDataFrame([(i, ["", "<p>", "<table></table>", None, " "][i % 5]) for i in range(50)], "id int, html string")
+    marked = td.checked(df, td.html_error("html"))
+    out, seen = td.counted(marked, "error", {"empty": "must be", "blank": "empty or", "never": "zzz", "also empty": "must"})
+    rows = out.collect()
+    errors = Counter(r.error for r in rows)
+    assert seen.get == {"rows": 50, "good": 10, "empty": 20, "blank": 10, "never": 0, "also empty": 0, "other": 10}
+    assert errors["must be a non-empty string"] == 20 and errors[None] == 10
+
+
 def test_files(spark, tmp_path):
     df = spark.createDataFrame([(1, ' a "q", b', None), (2, "line\nbreak", "x")], "id int, t string, u string")
     files.write_csv(df, f"{tmp_path}/csv", ";")
