@@ -1056,4 +1056,4 @@ def wide_group_round_trip(spark, sf):
     )
 
 
-from workload import assembly_queries, selector_queries, stream_queries  # noqa: E402, F401
+from workload import assembly_queries, file_queries, selector_queries, stream_queries  # noqa: E402, F401
