@@ -3,8 +3,11 @@
 Markup is stripped into lines, one per block of the page. Each line weighs the
 characters that may be prose: text of links counts nothing, nor does what stands in menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments. The weights of a few
-consecutive lines add up to a line block. Where the blocks surge from nothing, a stretch of
-text begins; where they dive to nothing, it ends. The lines between are kept, unless they are of such parts themselves.
+consecutive lines add up to a line block. Where the sums surge above a threshold a stretch of
+text begins, and where they dive below another it ends; the lines between are kept. Lines that are all link and border on kept
+ones are kept inside an article or main element, where such lines are titles and references rather than menus.
+
+A page is read once from front to back, whatever stands in it: no tag, quote or open element is searched for twice.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,21 +24,34 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class MainTextOptions:
-    """window: lines of a block; surge: a block with so many characters begins a stretch."""
+    """window: lines of a block; surge: a block with so many characters outside links begins a stretch, and in a page where none has so
+    many the heaviest does; dive: a block with fewer ends it; article: hundredths of the page's weight that an article or main element has
+    to hold for text beside it to go."""
 
     window: int = 3
-    surge: int = 1
+    surge: int = 25
+    dive: int = 1
+    article: int = 20
 
 
 #: Elements whose content is no text of the page.
 _SKIPPED = {"script", "style", "noscript", "template", "head", "title", "svg", "math", "iframe", "object", "canvas", "audio", "video", "textarea", "select", "datalist"}
-#: Elements that hold no article text, and words of class, id or role that say so of any element.
-_ASIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "label", "fieldset", "input"}
-_ASIDE_NAMES = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notice|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup"
-    r"|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|rail|widget|related|recommended|footer|masthead|topbar|toolbar|pagination|pager"
-    r"|comments?|disqus|respond|replies|share|sharing|social|form|login|search)(?:$|[\s_-])"
-)
+#: Elements that hold no article text.
+_ASIDE = {"nav", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "input"}
+#: Words that say so of any element, alone or as a part of a class or id.
+_ASIDE_PARTS = {
+    "ad", "ads", "adsense", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comments", "consent", "cookie", "cookies",
+    "disqus", "footer", "masthead", "modal", "nav", "navbar", "navigation", "newsletter", "overlay", "pager", "pagination", "popup", "promo", "sidebar", "signup",
+    "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar",
+}
+#: Whole classes and ids that say so; as parts of others they name parts of articles too.
+_ASIDE_WHOLE = {
+    "alert", "alerts", "comment", "form", "header", "login", "menu", "notice", "notices", "rail", "recommended", "related", "related-posts", "related-articles", "replies",
+    "respond", "search", "search-form", "share", "sharing", "share-buttons", "side-bar", "site-header", "page-header", "site-menu", "main-menu", "social", "social-links",
+    "social-share", "widget", "widgets",
+}
+#: Elements of running text, which only the first of these lists puts aside once they stand in an article.
+_TEXT = {"p", "li", "dd", "dt", "td", "th", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption", "caption"}
 _ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert"}
 #: Elements that do not break a line.
 _INLINE = {
@@ -47,21 +63,28 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 #: An element that ends when one of its kind, or of the others named, begins.
 _ENDED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+# up to the end of a tag; quotes count after an equals sign only
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>")
+_ATTRIBUTE = re.compile(r"([^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
+_PARTS = re.compile(r"[^\s_-]+")
 
 
 def _is_aside(name: str, attributes: str, in_article: bool) -> bool:
     if name in _ASIDE or name == "header" and not in_article:
         return True
-    for key, *values in _ATTRIBUTE.findall(attributes) if "=" in attributes else ():
-        value = "".join(values)
-        key = key.lower()
-        if key in ("class", "id") and _ASIDE_NAMES.search(value) and name not in ("html", "body", "article", "main"):
+    if name in ("html", "body", "article", "main") or not attributes or attributes.isspace():
+        return False
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        key, value = key.lower(), "".join(values).lower()
+        if key in ("class", "id"):
+            if any(p in _ASIDE_PARTS for p in _PARTS.findall(value)):
+                return True
+            if not (in_article and name in _TEXT) and any(x in _ASIDE_WHOLE for x in value.split()):
+                return True
+        if key == "role" and value in _ASIDE_ROLES or key == "aria-hidden" and value == "true" or key == "hidden":
             return True
-        if key == "role" and value.lower() in _ASIDE_ROLES or key == "aria-hidden" and value.lower() == "true":
-            return True
-    return "hidden" in attributes and re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes) is not None
+    return False
 
 
 @dataclass
@@ -74,101 +97,148 @@ class Line:
     article: bool
 
 
-def lines_of(page: str) -> list[Line]:
-    """The page's blocks in order, markup stripped, references decoded and white space made single."""
-    lines: list[Line] = []
-    pieces: list[tuple[str, bool]] = []  # text, and whether it is a link's
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, aside, article
-    aside = article = False
-    links = 0
-
-    def end_line() -> None:
-        if pieces:
-            text = " ".join(html.unescape("".join(t for t, _ in pieces)).split())
+class _Reader:
+    """The lines of one page. Open elements are a stack; the places of each name, and of those that are blocks, are kept beside it."""
+
+    def __init__(self) -> None:
+        self.lines: list[Line] = []
+        self.pieces: list[tuple[str, bool]] = []  # text, and whether it is a link's
+        self.stack: list[tuple[str, bool, bool]] = []  # open elements: name, aside, article
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.links = 0
+
+    @property
+    def aside(self) -> bool:
+        return bool(self.stack) and self.stack[-1][1]
+
+    @property
+    def article(self) -> bool:
+        return bool(self.stack) and self.stack[-1][2]
+
+    def text(self, piece: str) -> None:
+        self.pieces.append((piece, self.links > 0))
+
+    def end_line(self) -> None:
+        if self.pieces:
+            text = " ".join(html.unescape("".join(t for t, _ in self.pieces)).split())
             if text:
-                plain = " ".join(html.unescape("".join(t for t, link in pieces if not link)).split())
-                lines.append(Line(text, len(plain), aside, article))
-            pieces.clear()
-
-    def leave(depth: int) -> None:
-        nonlocal aside, article, links
-        end_line_needed = any(name not in _INLINE for name, _, _ in stack[depth:])
-        if end_line_needed:
-            end_line()
-        links -= sum(name == "a" for name, _, _ in stack[depth:])
-        del stack[depth:]
-        aside = stack[-1][1] if stack else False
-        article = stack[-1][2] if stack else False
-
-    at = 0
-    while at < len(page):
-        token = _TOKEN.search(page, at)
-        if token is None:
-            pieces.append((page[at:], links > 0))
-            break
-        if token.start() > at:
-            pieces.append((page[at : token.start()], links > 0))
-        at = token.end()
-        name = (token[2] or "").lower()
-        if not name:
-            continue
-        if token[1]:  # a closing tag
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    leave(depth)
-                    break
-                if stack[depth][0] in ("article", "main", "body") and name in _INLINE | {"p"}:
-                    break  # it closes nothing in here
-            else:
-                if name not in _INLINE:
-                    end_line()
-            continue
-        if name in _SKIPPED:
-            if not token[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page) if name in ("script", "style") else at
-            continue
-        if name == "br":
-            pieces.append((" ", links > 0))
-            continue
+                plain = text if not any(link for _, link in self.pieces) else " ".join(html.unescape("".join(t for t, link in self.pieces if not link)).split())
+                self.lines.append(Line(text, len(plain), self.aside, self.article))
+            self.pieces.clear()
+
+    def leave(self, depth: int) -> None:
+        """Close the open elements from `depth` on."""
+        if self.blocks and self.blocks[-1] >= depth:
+            self.end_line()
+        while len(self.stack) > depth:
+            name = self.stack.pop()[0]
+            self.places[name].pop()
+            self.links -= name == "a"
+        while self.blocks and self.blocks[-1] >= depth:
+            self.blocks.pop()
+
+    def last(self, *names: str) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def close(self, name: str) -> None:
+        depth = self.last(name)
+        if depth >= 0:
+            # text elements do not close what is around their article
+            if name not in _INLINE | {"p"} or depth > self.last("article", "main", "body"):
+                self.leave(depth)
+        elif name not in _INLINE:
+            self.end_line()
+
+    def open(self, name: str, attributes: str) -> None:
         if name not in _INLINE:
             # a block ends an open paragraph, and elements that cannot hold it
-            while stack:
-                depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] not in _INLINE), None)
-                if depth is None:
-                    break
-                ended_by = _ENDED_BY.get(stack[depth][0], set())
+            while self.blocks:
+                ended_by = _ENDED_BY.get(self.stack[self.blocks[-1]][0], set())
                 if ended_by is not None and name not in ended_by:
                     break
-                leave(depth)
-            end_line()
-        if name in _VOID or token[3].endswith("/"):
+                self.leave(self.blocks[-1])
+            self.end_line()
+        if name in _VOID or attributes.endswith("/"):
+            return
+        aside = self.aside or _is_aside(name, attributes, self.article)
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in _INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, aside, self.article or name in ("article", "main")))
+        self.links += name == "a"
+
+
+def lines_of(page: str) -> list[Line]:
+    """The page's blocks in order, markup stripped, references decoded and white space made single.
+
+    A tag that nothing ends is text, with all that follows.
+    """
+    reader = _Reader()
+    at, size = 0, len(page)
+    none_left: set[str] = set()  # skipped elements that no later tag closes
+    while at < size:
+        begin = page.find("<", at)
+        if begin < 0:
+            reader.text(page[at:])
+            break
+        if page.startswith(("<!", "<?"), begin):
+            reader.text(page[at:begin])
+            opening, closing = ("<!--", "-->") if page.startswith("<!--", begin) else ("<![CDATA[", "]]>") if page.startswith("<![CDATA[", begin) else ("<!", ">")
+            end = page.find(closing, begin + len(opening))
+            at = end + len(closing) if end >= 0 else size
+            continue
+        named = _NAME.match(page, begin + 1)
+        if named is None:
+            reader.text(page[at : begin + 1])
+            at = begin + 1
             continue
-        inside = article or name in ("article", "main")
-        aside = aside or _is_aside(name, token[3], article)
-        article = inside
-        stack.append((name, aside, article))
-        links += name == "a"
-    end_line()
-    return lines
+        rest = _REST.match(page, named.end())
+        if rest is None:
+            reader.text(page[at:])
+            break
+        reader.text(page[at:begin])
+        at = rest.end()
+        name = named[0].lower()
+        attributes = page[named.end() : at - 1]
+        if name.startswith("/"):
+            reader.close(name[1:])
+        elif name in _SKIPPED:
+            if not attributes.endswith("/") and name not in none_left:
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*+>", re.I).search(page, at)
+                if end is None:
+                    none_left.add(name)
+                at = end.end() if end else size if name in ("script", "style") else at
+        elif name == "br":
+            reader.text(" ")
+        else:
+            reader.open(name, attributes)
+    reader.end_line()
+    return reader.lines
 
 
-def stretches(weights: list[int], options: MainTextOptions) -> list[tuple[int, int]]:
-    """[start, end) of the lines between surges and dives of the blocks."""
-    found = []
+def block_sums(weights: list[int], window: int) -> list[int]:
+    """For each line the weight of the block that begins there."""
     n = len(weights)
     blocks = [0] * n
     running = 0
     for k in range(n - 1, -1, -1):
-        running += weights[k] - (weights[k + options.window] if k + options.window < n else 0)
+        running += weights[k] - (weights[k + window] if k + window < n else 0)
         blocks[k] = running
+    return blocks
+
+
+def stretches(weights: list[int], options: MainTextOptions) -> list[tuple[int, int]]:
+    """[start, end) of the lines between surges and dives of the blocks; a block is a line and those after it."""
+    n = len(weights)
+    blocks = block_sums(weights, options.window)
+    found = []
     k = 0
     while k < n:
-        if weights[k] and blocks[k] >= options.surge:
+        if weights[k] and blocks[k] >= max(options.surge, options.dive):
             end = k
-            while end < n and blocks[end] > 0:
+            while end < n and blocks[end] >= options.dive:
                 end += 1
-            # the block that dives begins after the last line with text
             found.append((k, end))
             k = end
         else:
@@ -176,14 +246,33 @@ def stretches(weights: list[int], options: MainTextOptions) -> list[tuple[int, i
     return found
 
 
+def kept_lines(lines: list[Line], options: MainTextOptions) -> list[int]:
+    """The numbers of the lines of the main text."""
+    weights = [0 if x.aside else x.weight for x in lines]
+    inside = sum(w for w, x in zip(weights, lines, strict=True) if x.article)
+    chosen = [not x.aside for x in lines]
+    if 100 * inside >= options.article * sum(weights) and any(x.article and not x.aside for x in lines):
+        chosen = [c and x.article for c, x in zip(chosen, lines, strict=True)]
+        weights = [w if c else 0 for w, c in zip(weights, chosen, strict=True)]
+    # a page without any block that surges still has its heaviest
+    heaviest = max(block_sums(weights, options.window), default=0)
+    spans = stretches(weights, replace(options, surge=max(1, min(options.surge, heaviest))))
+    kept = [False] * len(lines)
+    for a, z in spans:
+        # inside an article, lines that are all link go with the text that they border on
+        while a > 0 and chosen[a - 1] and lines[a - 1].article and not kept[a - 1]:
+            a -= 1
+        while z < len(lines) and chosen[z] and lines[z].article and not weights[z]:
+            z += 1
+        for k in range(a, z):
+            kept[k] = chosen[k]
+    return [k for k, x in enumerate(kept) if x]
+
+
 def main_text(page: str | None, options: MainTextOptions = MainTextOptions()) -> str:
-    """The kept lines, joined by an empty line; empty for a null or empty page, or one without text."""
+    """The kept lines, joined by an empty line; empty for a null or empty page, or one without text outside links."""
     lines = lines_of(page or "")
-    if any(x.article and not x.aside for x in lines):
-        lines = [Line(x.text, x.weight, x.aside or not x.article, True) for x in lines]
-    weights = [0 if x.aside else x.weight for x in lines]
-    kept = [k for a, z in stretches(weights, options) for k in range(a, z)]
-    return "\n\n".join(lines[k].text for k in kept if not lines[k].aside)
+    return "\n\n".join(lines[k].text for k in kept_lines(lines, options))
 
 
 def main_texts(pages: DataFrame, options: MainTextOptions = MainTextOptions()) -> DataFrame:
