@@ -1,3 +1,5 @@
+import random
+
 from tabledocs.llm.licenses import TEMPLATES, LicenseOptions, aligned, license_notices, notices, words_of
 
 
@@ -35,3 +37,46 @@ def test_given_lines_and_wrapped_notices():
     wrapped = "Released under\nthe MIT License."
     assert found(f"{wrapped}\n{wrapped}") == ["MIT"] and found(f"{wrapped}\n{gpl}\n{wrapped}\n{cc}") == ["CC-BY-NC", "GPL", "MIT"]
     assert found("the license of this work is public and general") == []
+
+
+def found_in(text):
+    return notices(text, LicenseOptions(), [(name, words_of(t)) for name, t in TEMPLATES])
+
+
+def test_names_tell_licenses_apart():
+    """Words around the name do not make a notice, and a longer name is another license."""
+    for text in (
+        "Licensed under the Eclipse (or Mozilla) Public License, Version 2.0", "Released under the BSD / ISC / new license", "He licensed it under a CC deal by 4.0 percent",
+        "released by the band under the label; the MIT press has a license", "Licensed under the GNU Free Documentation License, version 1.3", "Licensed under the General Public Library License, version",
+    ):
+        assert found_in(text) == [], text
+    base = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    for more, name in (("", "CC-BY"), ("-NonCommercial", "CC-BY-NC"), ("-ShareAlike", "CC-BY-SA"), ("-NonCommercial-ShareAlike", "CC-BY-NC-SA"), ("-NoDerivatives", "CC-BY-ND"), ("-NonCommercial-NoDerivatives", "CC-BY-NC-ND")):
+        assert {n[0] for n in found_in("words before. " + base.format(more) + " Words after it.")} == {name}
+
+
+def test_places():
+    mit = "Released under the MIT License."
+    (row,) = found_in(f"a b {mit} c\n{mit}\nd e\nReleased under\nthe MIT License")
+    assert row[:4] == ("MIT", 0, 5, 5) and row[4] == [(2, 7, 5), (8, 13, 5), (15, 20, 5)]
+
+
+def longest_common(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_alignment_against_common_subsequences():
+    """Aligned words are a common subsequence; with no word twice it is a longest one."""
+    rng = random.Random(5)
+    for _ in range(300):
+        words = [f"w{k}" for k in range(12)]
+        a, b = ([rng.choice(words) for _ in range(rng.randrange(14))] for _ in range(2))
+        pairs = aligned(a, b)
+        assert all(b[i] == a[j] for i, j in pairs) and all(x < y for p, q in zip(pairs, pairs[1:]) for x, y in zip(p, q))
+        assert len(pairs) <= longest_common(a, b)
+        once, other = rng.sample(words, rng.randrange(13)), rng.sample(words, rng.randrange(13))
+        assert len(aligned(once, other)) == longest_common(once, other)
