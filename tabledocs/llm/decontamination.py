@@ -183,5 +183,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, options: Decontaminati
     """The rows of `docs` that hold no item, with all their columns."""
     found = cut(_found(docs, benchmark, options).select("digest", "chars").distinct())
     text = text_of(F.col("text"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(text).alias("digest"), F.length(text).alias("chars"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text).alias("digest"), F.length(text).alias("chars"))
     return rows.join(_few(found), ["digest", "chars"], "left_anti").select("row.*")

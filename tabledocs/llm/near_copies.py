@@ -248,13 +248,14 @@ def without_near_copies(docs: DataFrame, options: NearCopyOptions = NearCopyOpti
 
     Rows that share a doc_id stay or go together, and equal texts among them stay once. Rows without doc_id stay.
     """
+    own = [F.col(f"`{c}`") for c in docs.columns]
     judged = cut(near_copies(docs, options).where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
     gone = judged.where("not kept").select("doc_id")
     few = gone.count() <= BROADCAST_IDS
-    rest = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    rest = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*own)
     repeated = judged.where("kept and rows > 1").select("doc_id")
     if repeated.isEmpty():
         return rest
     # equal texts of one id meet in a partial aggregate before they move
-    single = rest.join(repeated, "doc_id", "left_anti").select(docs.columns)
-    return single.unionByName(rest.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    single = rest.join(repeated, "doc_id", "left_anti").select(*own)
+    return single.unionByName(rest.join(repeated, "doc_id", "left_semi").select(*own).dropDuplicates(["doc_id", "text"]))

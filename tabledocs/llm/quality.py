@@ -113,7 +113,7 @@ def quality(docs: DataFrame, options: QualityOptions = QualityOptions()) -> Data
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lines_removed", "chars_lost", "text")
     own = [c for c in docs.columns if c not in {f"q_{x}" for x in names}]
     # the caller's columns travel in one struct, so that no name can clash
-    work = docs.select(F.struct(*own).alias("row"), text_of(F.col("text")).alias("text"))
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), text_of(F.col("text")).alias("text"))
     work = work.withColumn("words", words_of(F.col("text")))
     lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text"), words_of(x).alias("words")))
     work = work.withColumn("lines", F.filter(lines, lambda x: F.size(x["words"]) > 0))
@@ -143,9 +143,10 @@ def quality(docs: DataFrame, options: QualityOptions = QualityOptions()) -> Data
 
 def cleaned(docs: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
     """The rows of `docs` that are kept, with all their columns; where lines were removed, the text is what remains, and n_chars, if there is one, its length."""
-    judged = quality(docs, options).where("q_kept")
+    # the caller's columns in one struct, so that they come back as they are, whatever their names
+    judged = quality(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), "text"), options).where("q_kept")
     changed = F.col("q_lines_removed") > 0
-    values = {"text": F.when(changed, F.col("q_text")).otherwise(F.col("text")).alias("text")}
+    values = {"text": F.when(changed, F.col("q_text")).otherwise(F.col("own.text")).alias("text")}
     if "n_chars" in docs.columns:
-        values["n_chars"] = F.when(changed, F.length("q_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
-    return judged.select(*[values.get(c, F.col(f"`{c}`")) for c in docs.columns])
+        values["n_chars"] = F.when(changed, F.length("q_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("own.n_chars")).alias("n_chars")
+    return judged.select(*[values.get(c, F.col(f"own.`{c}`").alias(c)) for c in docs.columns])

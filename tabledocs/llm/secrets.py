@@ -90,7 +90,7 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def _flagged(docs: DataFrame, rules: tuple[Rule, ...], row: list[str]) -> DataFrame:
     """(row, text, flags): the columns `row` in one struct, the text, and the rules that have to run on it as bits."""
     always = sum(1 << k for k, rule in enumerate(rules) if not all(trigram_query(rule.pattern)))
-    work = docs.select(F.struct(*row).alias("row"), F.col("doc_id").alias("id"), text_of(F.col("text")).alias("text"))
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in row]).alias("row"), F.col("doc_id").alias("id"), text_of(F.col("text")).alias("text"))
     marks = cut(candidates(docs.select("doc_id", "text"), rules)).withColumnRenamed("doc_id", "marked")
     if marks.count() <= BROADCAST_IDS:
         marks = F.broadcast(marks)

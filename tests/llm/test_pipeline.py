@@ -1,7 +1,11 @@
 import random
 
 import corpus_pipeline
+from tabledocs.llm.decontamination import decontaminated
+from tabledocs.llm.near_copies import without_near_copies
+from tabledocs.llm.quality import cleaned
 from tabledocs.llm.queries import ORACLE, QUERIES
+from tabledocs.llm.secrets import without_secrets
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -62,3 +66,16 @@ def test_near_copies_from_80_percent(spark):
     (a, b), (c, d) = pair("a", 820, 90), pair("c", 780, 110)
     docs = spark.createDataFrame(list(enumerate([a, b, c, d])), "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SMALL).collect()) == [0, 2, 3]
+
+
+def test_columns_of_any_name(spark):
+    """Columns whose names clash with those of the operators, or hold a dot, come back as they were."""
+    names = ("q_kept", "q_text", "secret_spans", "flags", "row", "own", "a.b", "digest", "chars", "node")
+    text = "One line of words that is long enough for the rules to keep it as it is, and more.\n" * 3 + " ".join(f"w{k} and" for k in range(60)) + "."
+    docs = spark.createDataFrame([(k, text.replace("One", f"One{k}"), "en", "s", 7, *[f"{n}-{k}" for n in names]) for k in range(3)], ["doc_id", "text", "lang", "source", "n_chars", *names])
+    item = spark.createDataFrame([(1, " ".join(f"i{k}" for k in range(20)))], "item_id bigint, text string")
+    expected = sorted(tuple(r[5:]) for r in docs.collect())
+    for out in (cleaned(docs), without_secrets(docs), decontaminated(docs, item), without_near_copies(docs)):
+        assert out.columns == docs.columns and len(out.collect()) in (1, 3)
+        assert {tuple(r[5:]) for r in out.collect()} <= set(expected)
+    assert sorted(tuple(r[5:]) for r in cleaned(docs).collect()) == expected
