@@ -17,14 +17,20 @@ from tabledocs.plans.options import ExtractOptions
 
 
 def stream_documents(spark: SparkSession, folder: str, schema: str, source: str = "parquet",
-                     files_per_trigger: int | None = None, files: str | None = None) -> DataFrame:
-    """Documents from files that keep arriving in ``folder``; ``files`` is a name pattern."""
+                     files_per_trigger: int | None = None, files: str | None = None,
+                     entries: str | None = None) -> DataFrame:
+    """Documents from files that keep arriving in ``folder``.
+
+    ``files`` is a pattern for the files' own names, ``entries`` one for what stands in the folder: files, or
+    folders of part files, which are read as well.
+    """
     reader = spark.readStream.schema(schema)
     if files:
         reader = reader.option("pathGlobFilter", files)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.format(source).load(folder)
+    # in braces the path is a pattern even without wildcards, so that it may name a file as well as a folder
+    return reader.format(source).load(f"{folder}/{{{entries}}}" if entries else folder)
 
 
 def stream_tables(

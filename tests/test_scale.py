@@ -261,3 +261,23 @@ def test_empty_result_per_id(spark):
 def test_bad_stream_level(spark):
     with pytest.raises(ValueError):
         stream_tables(None, level="pages")
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_streamed_table_is_a_file_or_a_folder_of_files(spark, tmp_path, files):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    at = tmp_path / "tables" / "pages.parquet"
+    at.parent.mkdir()
+    pq.write_table(pa.table({"n": [99]}), at.parent / "other.parquet")
+    make = lambda k: pa.table({"page_id": [10 * k + j for j in range(5)], "html": ["<table><tr><td>1</td></tr></table>"] * 5})
+    if files == 1:
+        pq.write_table(make(0), at)
+    else:
+        at.mkdir()
+        for k in range(files):
+            pq.write_table(make(k), at / f"part-{k}.parquet")
+    stream = stream_documents(spark, str(at.parent), "page_id bigint, html string", entries="pages.parquet")
+    write_records_and_rejects(stream, "page_id", f"{tmp_path}/out", f"{tmp_path}/rejects", f"{tmp_path}/state").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5 * files

@@ -36,7 +36,7 @@ UNION ALL SELECT page_id, 'reject', NULL, {_REASON} FROM pages WHERE page_id % 5
 def stream_records_and_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Pages that arrive as files: one stream writes the records of the good ones and the others with their reasons."""
     base = f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
-    pages = _mixed(stream_documents(spark, sf, "page_id bigint, url string, html string", files="pages.parquet"))
+    pages = _mixed(stream_documents(spark, sf, "page_id bigint, url string, html string", entries="pages.parquet"))
     options = ExtractOptions(headings=False)
     write_records_and_rejects(pages, "page_id", f"{base}/out", f"{base}/rejects", f"{base}/state", options=options).awaitTermination()
     records = spark.read.parquet(f"{base}/out").select("page_id", F.lit("record").alias("side"), "row_no", F.try_element_at("rec", F.lit("id")).alias("value"))
