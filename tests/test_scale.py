@@ -281,3 +281,19 @@ def test_a_streamed_table_is_a_file_or_a_folder_of_files(spark, tmp_path, files)
     stream = stream_documents(spark, str(at.parent), "page_id bigint, html string", entries="pages.parquet")
     write_records_and_rejects(stream, "page_id", f"{tmp_path}/out", f"{tmp_path}/rejects", f"{tmp_path}/state").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5 * files
+
+
+def test_markdown_rows_are_numbered_through_a_whole_order(spark, tmp_path):
+    from workload.queries import QUERIES
+
+    n = 20_005
+    lines = spark.range(n).select(
+        F.when(F.col("id") < n - 2, 1).otherwise(2).cast("bigint").alias("l_orderkey"), F.col("id").alias("l_linenumber"), F.lit(3).cast("bigint").alias("l_partkey"),
+        F.lit(4).cast("bigint").alias("l_suppkey"), F.lit(5.0).alias("l_quantity"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = QUERIES["markdown_cells"](spark, str(tmp_path))
+    assert rows.columns == ["l_orderkey", "row_no", "a", "b", "c"] and dict(rows.dtypes)["row_no"] == "int"
+    found = rows.select("l_orderkey", "row_no", "a").collect()
+    wanted = {(1, i + 1, f"**{i}** *N*") for i in range(n - 2)} | {(2, i + 1, f"**{n - 2 + i}** *N*") for i in range(2)}
+    assert len(found) == n and {tuple(r) for r in found} == wanted
