@@ -297,3 +297,33 @@ def test_markdown_rows_are_numbered_through_a_whole_order(spark, tmp_path):
     found = rows.select("l_orderkey", "row_no", "a").collect()
     wanted = {(1, i + 1, f"**{i}** *N*") for i in range(n - 2)} | {(2, i + 1, f"**{n - 2 + i}** *N*") for i in range(2)}
     assert len(found) == n and {tuple(r) for r in found} == wanted
+
+
+
+
+def test_ranges_are_sampled_by_bounded_starts_of_texts(spark):
+    from tabledocs.plans.assemble import BOUND_CHARS, _bounds
+
+    rows = [(None,), ("",), ("b",), ("x" * 64,), ("x" * 64 + "a",), ("x" * 64 + "b",), ("x" * 5000,), ("y",)]
+    df = spark.createDataFrame([(t, n) for (t,) in rows for n in (2, 1)], "t string, n int")
+    bounds = _bounds(df, [F.col("t"), F.col("n")])
+    starts = df.select("t", "n", F.struct(*bounds).alias("s")).orderBy("t", "n").collect()
+    keys = [tuple((v is not None, v) for v in r["s"]) for r in starts]
+    assert keys == sorted(keys) and all(len(r["s"][0] or "") <= BOUND_CHARS for r in starts)
+
+
+def test_hot_groups_are_told_apart_without_a_shuffle_by_group(spark, monkeypatch):
+    """Few groups, one with nearly all rows: joining by group would read that one in one task, whatever the sizes are."""
+    monkeypatch.setattr("tabledocs.plans.assemble.STRETCH_BYTES", 1000)
+    df = spark.range(3000).select(F.when(F.col("id") < 2900, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = td.group_text(df, ["k"], ["id"], F.col("id").cast("string"), separator=",", max_rows=100)
+        joins = re.findall(r"SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin", out._jdf.queryExecution().executedPlan().toString())
+        got = {(r["k"], r["part"]): r["body"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # wide's join is before the checkpoint: what is left are the small groups' and the offsets'
+    assert joins and set(joins) == {"BroadcastHashJoin"}
+    assert len(got) == 29 + 100 and all(got["hot", p] == ",".join(map(str, range(100 * p, 100 * p + 100))) for p in range(29))
