@@ -266,7 +266,7 @@ def _placed(units: Column) -> Column:
                 z["after"].alias("after"), z["u"].alias("u"),
             ),
         )
-        return F.when(nested, F.array_sort(entries)).otherwise(entries)
+        return F.when(nested, F.sort_array(entries)).otherwise(entries)
 
     return let(F.array_join(F.transform(units, _symbol), ""), place)
 
@@ -347,7 +347,7 @@ def style_tables(
         F.col("__styled"),
         lambda done: F.array_join(
             F.transform(
-                F.when(F.exists("__placed", lambda e: e["level"] > 0), F.array_sort(done)).otherwise(done),
+                F.when(F.exists("__placed", lambda e: e["level"] > 0), F.sort_array(done)).otherwise(done),
                 lambda x: x["u"],
             ),
             "",

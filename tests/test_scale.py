@@ -327,3 +327,22 @@ def test_hot_groups_are_told_apart_without_a_shuffle_by_group(spark, monkeypatch
     # wide's join is before the checkpoint: what is left are the small groups' and the offsets'
     assert joins and set(joins) == {"BroadcastHashJoin"}
     assert len(got) == 29 + 100 and all(got["hot", p] == ",".join(map(str, range(100 * p, 100 * p + 100))) for p in range(29))
+
+
+def test_work_in_a_page_neither_copies_bound_values_nor_compares_by_expression(spark, pages):
+    """A bound value is no element of an array, and structs are sorted by their order, not by a lambda per comparison."""
+    html = "<h1>a</h1><table><tr><td>1</td></tr></table><h2>b</h2><table><tr><td>2</td></tr></table>"
+    out = td.heading_keyed_json(td.with_tables(pages(html), "html", ExtractOptions()), "tables", "json")
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "array_sort(" not in plan and not re.search(r"\btransform\(array\(", plan)
+    assert json.loads(out.first()["json"]) == {"a": {"_data": [["1"]], "b": [["2"]]}}
+
+
+def test_paths_of_every_depth_are_written(spark, pages):
+    """Levels that no table of a page has are passed over; deeper ones, and nodes with rows and children, are not."""
+    heads = "".join(f"<h{k}>s{k}</h{k}><table><tr><td>{k}</td></tr></table>" for k in range(1, 6))
+    out = td.heading_keyed_json(td.with_tables(pages(heads, "<table><tr><td>0</td></tr></table>", "<p>"), "html", ExtractOptions()), "tables", "json")
+    deep = [["5"]]
+    for k in range(4, 0, -1):
+        deep = {"_data": [[str(k)]], f"s{k + 1}": deep}
+    assert [json.loads(r["json"]) for r in out.orderBy("id").collect()] == [{"s1": deep}, {"table_1": [["0"]]}, {}]
