@@ -116,12 +116,21 @@ def _set_attribute(tag: Column, name: str, value: Column) -> Column:
     )
 
 
+def _declared(style: Style) -> str:
+    return " ".join(f"{_quoted(n)}: {_quoted(v)};" for n, v in merge_style(style).items())
+
+
+def _bare(name: str, style: Style) -> Column:
+    """What ``_add_style`` makes of a tag without attributes."""
+    return F.lit(f'<{name} style="{_declared(style)}">' if style else f"<{name}>")
+
+
 def _add_style(tag: Column, style: Style) -> Column:
     """Merge declarations into the style of a tag: later ones win, and a
     declaration keeps the place where its name first stood."""
     if not style:
         return tag
-    fresh = " ".join(f"{_quoted(n)}: {_quoted(v)};" for n, v in merge_style(style).items())
+    fresh = _declared(style)
     added = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(_quoted(v)).alias("v")) for n, v in style])
 
     def merged(present: Column) -> Column:
@@ -176,11 +185,17 @@ def _add_class(tag: Column, names: str) -> Column:
 
 def _restyle_unit(unit: Column, symbol: Column, row_index: Column, caption_index: Column,
                   inner_text: Column, o: StyleOptions) -> Column:
-    def on(tag_rewrite) -> Column:
-        return let(
+    def on(tag_rewrite, name: str = "", bare: Column | None = None) -> Column:
+        general = let(
             F.regexp_extract(unit, "(?is)^<[a-z]+" + ATTRS, 0),
             lambda tag: F.concat(tag_rewrite(tag), F.substr(unit, F.length(tag) + 1)),
         )
+        if bare is None:
+            return general
+        # most tags have no attributes: what becomes of them is known beforehand
+        return F.when(
+            unit.startswith(f"<{name}>"), F.concat(bare, F.substr(unit, F.lit(len(name) + 3)))
+        ).otherwise(general)
 
     def table(tag: Column) -> Column:
         if o.table_class.split():
@@ -192,12 +207,26 @@ def _restyle_unit(unit: Column, symbol: Column, row_index: Column, caption_index
 
     base = row_style(o)
 
+    def shade(even: bool) -> Style:
+        color = (o.even_row_color if even else o.odd_row_color) if o.zebra else ""
+        return base + ([("background-color", color)] if color else [])
+
+    def bare_row() -> Column:
+        if not (o.zebra or o.banded_rows == "on"):
+            return _bare("tr", base)
+        even = shade(True)
+        if o.banded_rows == "on" and not any(n.startswith("background-color") for n, _ in even):
+            even = even + [("background-color", BAND_COLOR)]
+        return (
+            F.when(row_index < 0, _bare("tr", base)).when(row_index % 2 == 0, _bare("tr", even))
+            .otherwise(_bare("tr", shade(False)))
+        )
+
     def row(tag: Column) -> Column:
         plain = let(tag, lambda t: _add_style(t, base))
 
         def shaded(even: bool) -> Column:
-            color = (o.even_row_color if even else o.odd_row_color) if o.zebra else ""
-            style = base + ([("background-color", color)] if color else [])
+            style = shade(even)
             result = let(tag, lambda t: _add_style(t, style))
             if even and o.banded_rows == "on" and not any(n.startswith("background-color") for n, _ in style):
                 band = let(tag, lambda t: _add_style(t, style + [("background-color", BAND_COLOR)]))
@@ -218,16 +247,23 @@ def _restyle_unit(unit: Column, symbol: Column, row_index: Column, caption_index
         aligned = let(tag, lambda t: _add_style(t, style + [("text-align", o.numeric_alignment)]))
         return F.when(F.rlike(inner_text, F.lit(NUMBER)), aligned).otherwise(plain)
 
+    def bare_cell() -> Column:
+        style = cell_style(o, header=False)
+        if not o.numeric_alignment:
+            return _bare("td", style)
+        aligned = _bare("td", style + [("text-align", o.numeric_alignment)])
+        return F.when(F.rlike(inner_text, F.lit(NUMBER)), aligned).otherwise(_bare("td", style))
+
     def header_cell(tag: Column) -> Column:
         return let(tag, lambda t: _add_style(t, cell_style(o, header=True)))
 
     out = F.when(symbol == "T", on(table))
     if base or o.zebra or o.banded_rows == "on":
-        out = out.when(symbol == "R", on(row))
+        out = out.when(symbol == "R", on(row, "tr", bare_row()))
     if cell_style(o, False) or o.numeric_alignment:
-        out = out.when(symbol == "D", on(data_cell))
+        out = out.when(symbol == "D", on(data_cell, "td", bare_cell()))
     if cell_style(o, True):
-        out = out.when(symbol == "H", on(header_cell))
+        out = out.when(symbol == "H", on(header_cell, "th", _bare("th", cell_style(o, True))))
     if caption_style(o):
         out = out.when(
             (symbol == "C") & (caption_index == 1), on(lambda tag: let(tag, lambda t: _add_style(t, caption_style(o))))
@@ -242,7 +278,27 @@ def _symbol(unit: Column) -> Column:
             out = out.when(name == start, F.lit(symbol))
         return out.otherwise(F.lit("."))
 
-    return let(F.lower(F.regexp_extract(unit, "^</?[a-zA-Z]+(?=[\\s/>])", 0)), choose)
+    general = let(F.lower(F.regexp_extract(unit, "^</?[a-zA-Z]+(?=[\\s/>])", 0)), choose)
+    return (
+        F.when(unit.startswith("<td>"), F.lit("D")).when(unit.startswith("<tr>"), F.lit("R"))
+        .when(unit.startswith("<th>"), F.lit("H")).otherwise(general)
+    )
+
+
+def _cut_tags(o: StyleOptions) -> str:
+    """The tags that are rewritten, or that rows, captions and the text of cells are told by."""
+    if o.numeric_alignment:
+        return _TAGS
+    tags = ["table"]
+    if o.zebra or o.banded_rows == "on":
+        tags += ["tr", "/table", "/?thead", "/?tbody", "/?tfoot"]
+    elif row_style(o):
+        tags.append("tr")
+    if caption_style(o):
+        tags += ["/table", "caption"]
+    tags += ["td"] if cell_style(o, False) else []
+    tags += ["th"] if cell_style(o, True) else []
+    return "|".join(dict.fromkeys(tags))
 
 
 def _placed(units: Column) -> Column:
@@ -319,9 +375,17 @@ def style_tables(
     o = options
     columns = [c for c in df.columns if c != output]
     page = sanitize_html(html) if sanitize else as_column(html)
-    staged = df.withColumn("__units", lossless_units(page, _TAGS))
+    staged = df.withColumn("__units", lossless_units(page, _cut_tags(o)))
+    counted = o.zebra or o.banded_rows == "on" or caption_style(o)
+    if not (counted or o.numeric_alignment):
+        # no tag depends on another one
+        none = F.lit(None).cast("int")
+        styled = F.transform(
+            "__units", lambda u: let(_symbol(u), lambda s: _restyle_unit(u, s, none, none, F.lit(""), o))
+        )
+        return staged.select(*columns, F.coalesce(F.array_join(styled, ""), F.col(html)).alias(output))
     staged = staged.withColumn("__placed", _placed(F.col("__units")))
-    if o.zebra or o.banded_rows == "on" or caption_style(o):
+    if counted:
         counts = _counted(F.col("__placed"))
     else:
         counts = F.array().cast("array<struct<row:int,caption:int>>")

@@ -106,3 +106,23 @@ def test_each_option(pages):
 def test_option_checks(options):
     with pytest.raises(OptionError):
         StyleOptions(**options)
+
+
+def test_a_page_is_cut_only_at_tags_that_matter(pages, monkeypatch):
+    from tabledocs.operators import style
+
+    odd = PAGE + "<TABLE class=a><thead><TR><th>a<tr></thead><tbody title=\"<tr>\"><tr ><td/><td><!-- <td> --><tfoot><tr><td>f<track></table><tr"
+    every = (
+        StyleOptions(zebra=True, even_row_color="#eee", odd_row_color="#ddd", table_class="s"), StyleOptions(banded_rows="on", row_style="a:b"),
+        StyleOptions(cell_style="padding:2px", header_wrap="nowrap", row_text_align="left"), StyleOptions(caption_style="a:b", border_width=2),
+        StyleOptions(zebra=True, odd_row_color="red", banded_rows="on", cell_style="color: \"x\""), StyleOptions(),
+    )
+    df = pages(PAGE, odd, "", None, "<td>", "no table")
+
+    def styled():
+        return [[r.html for r in td.style_tables(df, o).orderBy("id").collect()] for o in every]
+
+    assert "td" not in style._cut_tags(every[0]).split("|") and style._cut_tags(every[5]) == "table"
+    cut = styled()
+    monkeypatch.setattr(style, "_cut_tags", lambda o: style._TAGS)
+    assert cut == styled()
