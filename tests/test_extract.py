@@ -221,3 +221,29 @@ def test_units_are_lossless(spark, parts):
     df = spark.createDataFrame([("".join(parts),)], "html string")
     joined = F.array_join(lossless_units(F.col("html"), "/?table|tr|td"), "")
     assert df.select(joined).head()[0] == "".join(parts)
+
+
+def test_names_of_structural_tags_in_any_case(pages):
+    df = pages(
+        "<TABLE><Caption> c </CAPTION><tr><td>x</td></tr><THEAD><TR><tH>h</Th></tr></thead><TBODY><tR><tD> é </td><td>b<tr><TD></table>"
+        "<p>out</p><thead><table><thead></thead><tr><td>1"
+    )
+    first, second = read(df)[0]
+    assert first == ("c", ["h"], [["x"], ["é", "b"], [""]])
+    assert second == (None, [], [["1"]])
+
+
+def test_a_cell_does_not_carry_all_headers(pages):
+    df = td.cells(pages("<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>"), "html")
+    assert [(r.col_no, r.header, r.value) for r in df.collect()] == [(1, "a", "1"), (2, "b", "2"), (3, None, "3")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last = next(line for line in plan if "Generate posexplode" in line)
+    assert "headers" not in last.split("), [", 1)[1]
+
+
+def test_sanitised_names_are_found_in_any_case(pages):
+    from tabledocs.operators.quality import DANGEROUS_ELEMENTS, sanitize_html
+
+    df = pages(*[f"a<{n.title()} x='1'/>b: onto" for n in DANGEROUS_ELEMENTS], "a<b ONclick='x'>c", "<a href='JavaScript:x'>y</a>")
+    got = [r[0] for r in df.orderBy("id").select(sanitize_html("html")).collect()]
+    assert got == ["ab: onto"] * len(DANGEROUS_ELEMENTS) + ["a<b>c", '<a href="#">y</a>']
