@@ -346,3 +346,39 @@ def test_paths_of_every_depth_are_written(spark, pages):
     for k in range(4, 0, -1):
         deep = {"_data": [[str(k)]], f"s{k + 1}": deep}
     assert [json.loads(r["json"]) for r in out.orderBy("id").collect()] == [{"s1": deep}, {"table_1": [["0"]]}, {}]
+
+
+MARKDOWN_PAGES = (
+    "<table><tr><td> <b>1</b> <em>N</em></td><td><a class='x' href=\"/p/7\">part 7</a><br/><del>3</del></td><td><ul><li> N</li> <li>O</li></ul><ol><li>1</li><li><span>9</span></li></ol> z</td></tr></table>",
+    "<table><tr><td><ul><li>a<ol><li>b</li><li>c</li></ol></li></ul></td><td><ol><li>&nbsp;x &amp; y </ol>z</td></tr></table>",
+    "<table><tr><td><ol><li>open</td><td><li>stray</li></ul><ul></ul></td></tr></table>",
+    "<table><caption><ul><li>c</li></ul></caption><tr><td><ul><li>1</li></ul></td></tr></table>",
+    "<table><tr><td><a href=z><b>l</b></a><A HREF='q'>m</A> <p>t</p><code><b>k</b></code> a < b</td><td><blockquote> q </blockquote><h2>h</h2><hr></td></tr></table>",
+    "<TABLE><tr><td title=\"<li>\">1<!-- <b> --></td><td><b class='k'>2</b></br><b/>3<x-y>4</x-y></td></tr></TABLE>",
+    "<ul><li>before</li></ul><table><tr><th>n</th></tr><tr><td><table><tr><td><i>in</i></td></tr></table></td></tr></table><b",
+)
+
+
+def test_known_tags_are_read_as_all_others_are(pages, monkeypatch):
+    """Looking tags up whole and writing lists once per page gives what the patterns and the numbering per cell give."""
+    from tabledocs.functions import markup
+
+    options = ExtractOptions(headings=False, cell_format="markdown")
+
+    def read():
+        return [r["tables"] for r in td.with_tables(pages(*MARKDOWN_PAGES), "html", options).orderBy("id").collect()]
+
+    found = read()
+    assert found[0][0]["rows"] == [["**1** *N*", "[part 7](/p/7)\n~~3~~", "- N\n- O\n1. 1\n2. 9\n z"]]
+    monkeypatch.setattr(markup, "known_to_markdown", lambda page, structure, marks: F.lit("<other"))
+    monkeypatch.setattr(markup, "write_lists", lambda text, marks: text)
+    assert read() == found
+
+
+def test_known_tags_and_plain_links_leave_no_tag(pages):
+    from tabledocs.functions.markdown import known_to_markdown
+
+    structure = {end + n: f"[{end}{n}]" for n in ("table", "tr", "td") for end in ("", "/")}
+    out = pages(MARKDOWN_PAGES[0], "<b>a</b><i class='x'>b</i>").select(known_to_markdown(F.col("html"), structure, "\ufdd0").alias("t")).collect()
+    assert "<" not in out[0]["t"] and "[part 7](/p/7)\n~~3~~" in out[0]["t"]
+    assert out[1]["t"] == "**a**<i class='x'>b*"
