@@ -382,3 +382,22 @@ def test_known_tags_and_plain_links_leave_no_tag(pages):
     out = pages(MARKDOWN_PAGES[0], "<b>a</b><i class='x'>b</i>").select(known_to_markdown(F.col("html"), structure, "\ufdd0").alias("t")).collect()
     assert "<" not in out[0]["t"] and "[part 7](/p/7)\n~~3~~" in out[0]["t"]
     assert out[1]["t"] == "**a**<i class='x'>b*"
+
+
+@pytest.mark.parametrize("duplicates", ["append", "suffix"])
+def test_paths_of_few_tables_are_searched_as_they_are_sorted(pages, monkeypatch, duplicates):
+    """Pages up to a number of tables are nested by search, larger ones by sorting, with the same result."""
+    from tabledocs.functions import outline_json
+
+    made = ["".join(f"<h{1 + (i * i + n) % 3}>s {(i * 7 + n) % 5}</h1><table><tr><td>{i}</td></tr></table>" for i in range(n)) for n in (1, 2, 7, 20, 32, 33, 50)]
+    read = td.with_tables(pages(*made, "<table><tr><td>0</td></tr></table><h2>é &amp; x</h2><table></table>"), "html", ExtractOptions())
+
+    def keyed():
+        return [r["json"] for r in td.heading_keyed_json(read, "tables", "json", td.WriteOptions(duplicates=duplicates)).orderBy("id").collect()]
+
+    found = keyed()
+    monkeypatch.setattr(outline_json, "_FEW", -1)
+    assert keyed() == found
+    monkeypatch.setattr(outline_json, "_FEW", 1000)
+    assert keyed() == found
+    assert list(json.loads(found[-1])) == ["table_1", "é_x"]
