@@ -401,3 +401,11 @@ def test_paths_of_few_tables_are_searched_as_they_are_sorted(pages, monkeypatch,
     monkeypatch.setattr(outline_json, "_FEW", 1000)
     assert keyed() == found
     assert list(json.loads(found[-1])) == ["table_1", "é_x"]
+
+
+def test_headings_of_every_level_are_on_the_path(pages):
+    """Levels that a page lacks are not looked up; those it has count as before."""
+    html = "<table></table><h3>a</h3><table></table><h5>b</h5><table></table><h2> c\u00a0</h2><table></table><H5>d<i>e</i></H5><table></table><h1></h1><table></table>"
+    found = td.with_tables(pages(html, "<table></table>", "<h4>x<table></table>"), "html", ExtractOptions()).orderBy("id").collect()
+    paths = [[[(h["level"], h["text"]) for h in t["heading_path"]] for t in r["tables"]] for r in found]
+    assert paths == [[[], [(3, "a")], [(3, "a"), (5, "b")], [(2, "c")], [(2, "c"), (5, "de")], [(1, "")]], [[]], [[(4, "x")]]]
